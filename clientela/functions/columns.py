@@ -83,18 +83,19 @@ def like_any(name: Column, patterns: Iterable[str]) -> Column:
     return reduce(or_, tests) if tests else F.lit(True)
 
 
-def stable_hash(key: Column, seed: int) -> Column:
-    """A hexadecimal hash that depends on the key and the seed alone.
+def stable_hash(key: Column, seed: int, purpose: str) -> Column:
+    """A hexadecimal hash that depends on the key, the seed and the purpose alone.
 
     It replaces random numbers: the order and the share it gives do not change
-    with partitioning, retries or the number of executors.
+    with partitioning, retries or the number of executors. Steps that draw one after
+    the other need different purposes, or the later draw would follow the earlier one.
     """
-    return F.md5(F.concat(key, F.lit(f":{seed}")))
+    return F.md5(F.concat(key, F.lit(f":{seed}:{purpose}")))
 
 
-def hash_below(key: Column, seed: int, share: float) -> Column:
+def hash_below(key: Column, seed: int, purpose: str, share: float) -> Column:
     """True for about ``share`` of the keys, always the same ones."""
-    bound = min(int(share * 16**8), 16**8 - 1)
     if share >= 1.0:
         return F.lit(True)
-    return F.substring(stable_hash(key, seed), 1, 8) < f"{bound:08x}"
+    bound = int(share * 16**8)
+    return F.substring(stable_hash(key, seed, purpose), 1, 8) < f"{bound:08x}"

@@ -75,7 +75,7 @@ def dense_index(df: DataFrame, *key: str, name: str) -> DataFrame:
 def sample_rows(df: DataFrame, key: str, rows: Column, seed: int) -> DataFrame:
     """Exactly ``rows`` rows (or all, if fewer), chosen by hash order of the key."""
     placed = with_position(
-        df.withColumn("draw", stable_hash(F.col(key), seed)), "draw", key, name="place"
+        df.withColumn("draw", stable_hash(F.col(key), seed, "rows")), "draw", key, name="place"
     )
     return placed.filter(F.col("place") < rows).select(*df.columns)
 
@@ -83,6 +83,6 @@ def sample_rows(df: DataFrame, key: str, rows: Column, seed: int) -> DataFrame:
 def sample_share(df: DataFrame, key: str, share: float, seed: int) -> DataFrame:
     """The first ``share`` of the rows in hash order of the key."""
     placed = with_position(
-        df.withColumn("draw", stable_hash(F.col(key), seed)), "draw", key, name="place"
+        df.withColumn("draw", stable_hash(F.col(key), seed, "share")), "draw", key, name="place"
     )
     return placed.filter((F.col("place") + 1) / F.col("place_of") <= share).select(*df.columns)
