@@ -68,8 +68,9 @@ def two_digits(number: Column) -> Column:
     return F.lpad(number.cast("string"), 2, "0")
 
 
-def hour_label(timestamp_text: Column) -> Column:
-    return two_digits(F.hour(timestamp_text.try_cast("timestamp_ntz")))
+def hour_of(timestamp_text: Column) -> Column:
+    """The hour in a timestamp text, NULL where it cannot be read."""
+    return F.hour(timestamp_text.try_cast("timestamp_ntz"))
 
 
 def weekday_label(day: Column) -> Column:

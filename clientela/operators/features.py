@@ -268,8 +268,8 @@ def label_share(
     line and of the catalog; lines where it is NULL are left out.
     """
     lines = feature_lines(src, cfg, credit_notes=False)
-    labels = {m.ALL: F.lit(""), "custom": label}
-    measured = m.with_members(m.label_measures(lines, labels))
+    labels = {m.ALL: F.lit(""), "custom": F.col("custom")}
+    measured = m.with_members(m.label_measures(lines, {"custom": label}, labels))
     share = F.col("transactions").cast("double") / _total("transactions")
     return emit_features(measured, customers, [Emitted("custom", [(F.col("label"), share)])])
 

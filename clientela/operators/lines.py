@@ -108,8 +108,10 @@ def catalog(items: DataFrame, main_skus: DataFrame, cfg: RunConfig) -> DataFrame
         "hier_subfamily_cd",
         "hier_group_cd",
         "hier_set_cd",
+        F.trim("hier_department_cd").alias("department"),
         F.trim("hier_family_cd").alias("family"),
         F.trim("hier_subfamily_cd").alias("subfamily"),
+        F.trim("hier_group_cd").alias("group"),
     )
     per_family = codes.groupBy("family").agg(
         F.count_distinct("subfamily").alias("family_subfamilies")

@@ -8,7 +8,7 @@ customer with a third of all lines is spread over its transactions.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,7 +19,7 @@ from clientela.config import (
     PREFERRED_CHANNEL,
     RENT_FAMILY,
 )
-from clientela.functions.columns import hour_label, store_label, weekday_label
+from clientela.functions.columns import hour_of, store_label, two_digits, weekday_label
 
 ALL = "all"
 STORE = "store"
@@ -55,33 +55,39 @@ ITEM_COLUMNS = (
 )
 
 
-def standard_labels() -> dict[str, Column]:
-    """The label of a line for each kind; NULL where the line does not count for it."""
-    sale = F.col("sales_return_type_cd") != CREDIT_NOTE
+# What the standard labels need of a line. Only these columns are shuffled; the labels
+# are spelled out behind the shuffle.
+CARRIED: dict[str, Callable[[], Column]] = {
+    "location": lambda: F.col("location_id"),
+    "hour": lambda: hour_of(F.col("transaction_dttm")),
+    "preferred": lambda: F.trim("sub_channel_level1_sales_flg") == PREFERRED_CHANNEL,
+    "rented": lambda: F.col("hier_family_cd") == RENT_FAMILY,
+    "invoiced": lambda: F.col("sales_return_type_cd") == INVOICE,
+    "item_id": lambda: F.col("item_id"),
+    "family": lambda: F.col("family"),
+    "subfamily": lambda: F.col("subfamily"),
+    "group": lambda: F.col("group"),
+    "department": lambda: F.col("department"),
+}
 
-    def on_sale(label: Column) -> Column:
-        return F.when(sale, label)
 
+def standard_labels() -> dict[str, Column]:
+    """The label of a sale line for each kind; NULL where the line does not count for it."""
     present = F.lit("")
     return {
-        ALL: on_sale(present),
-        STORE: on_sale(store_label(F.col("location_id"))),
-        LOCATION: on_sale(F.col("location_id").cast("string")),
-        HOUR: on_sale(hour_label(F.col("transaction_dttm"))),
-        WEEKDAY: on_sale(weekday_label(F.col("sales_return_dt"))),
-        CHANNEL: on_sale(
-            F.when(
-                F.trim("sub_channel_level1_sales_flg") == PREFERRED_CHANNEL, PREFERRED_CHANNEL
-            ).otherwise(OTHER_CHANNEL)
-        ),
-        FAMILY: on_sale(F.col("family")),
-        SUBFAMILY: on_sale(F.col("subfamily")),
-        GROUP: on_sale(F.trim("hier_group_cd")),
-        DEPARTMENT: on_sale(F.trim("hier_department_cd")),
-        RENT: on_sale(F.when(F.col("hier_family_cd") == RENT_FAMILY, present)),
-        INVOICED: F.when(F.col("sales_return_type_cd") == INVOICE, present),
-        CREDITED: F.when(~sale, present),
-        ITEM: on_sale(F.col("item_id")),
+        ALL: present,
+        STORE: store_label(F.col("location")),
+        LOCATION: F.col("location").cast("string"),
+        HOUR: two_digits(F.col("hour")),
+        WEEKDAY: weekday_label(F.col("day")),
+        CHANNEL: F.when(F.col("preferred"), PREFERRED_CHANNEL).otherwise(OTHER_CHANNEL),
+        FAMILY: F.col("family"),
+        SUBFAMILY: F.col("subfamily"),
+        GROUP: F.col("group"),
+        DEPARTMENT: F.col("department"),
+        RENT: F.when(F.col("rented"), present),
+        INVOICED: F.when(F.col("invoiced"), present),
+        ITEM: F.col("item_id"),
     }
 
 
@@ -91,7 +97,7 @@ def basket_key() -> Column:
     Lines without a transaction count for no transaction, so where they go is free:
     the hash keeps them from gathering in one partition.
     """
-    line = F.xxhash64("item_id", "sales_return_dt", "st_extended_net_amt", "unit_cnt")
+    line = F.xxhash64("item_id", "st_extended_net_amt")
     return F.coalesce(F.col("trx_key"), F.concat(F.lit("?"), line.cast("string")))
 
 
@@ -135,17 +141,21 @@ WITH_AMOUNT = (ALL, CREDITED)
 WITH_DAY = (ALL,)
 
 
-def label_measures(lines: DataFrame, labels: Mapping[str, Column]) -> DataFrame:
+def label_measures(
+    lines: DataFrame, carried: Mapping[str, Column], labels: Mapping[str, Column]
+) -> DataFrame:
     """Measures of each customer by (``kind``, ``label``), all kinds in one pass.
 
-    ``labels`` maps a kind to the label of a line, any Column. The kind ``item``
-    also carries the item's codes in ``item``.
+    ``carried`` are columns taken from the lines, ``labels`` maps a kind to the label
+    made from them. The kind ``item`` also carries the item's codes in ``item``.
+    Credit notes only count as such.
     """
     with_item = ITEM in labels
     spread = _narrow(
         lines,
         "customer_id",
-        *[label.alias(f"label_{kind}") for kind, label in labels.items()],
+        (F.col("sales_return_type_cd") == CREDIT_NOTE).alias("credited"),
+        *[column.alias(name) for name, column in carried.items()],
         *([F.struct(*ITEM_COLUMNS).alias("codes")] if with_item else []),
     )
 
@@ -153,10 +163,10 @@ def label_measures(lines: DataFrame, labels: Mapping[str, Column]) -> DataFrame:
         value = F.col(column)
         return value if kind in kinds else F.lit(None).cast(spread.schema[column].dataType)
 
-    def entry(kind: str) -> Column:
+    def entry(kind: str, label: Column) -> Column:
         fields = [
             F.lit(kind).alias("kind"),
-            F.col(f"label_{kind}").alias("label"),
+            label.alias("label"),
             only(kind, WITH_UNITS, "units").alias("units"),
             only(kind, WITH_AMOUNT, "amount").alias("amount"),
             only(kind, WITH_DAY, "day").alias("day"),
@@ -165,9 +175,12 @@ def label_measures(lines: DataFrame, labels: Mapping[str, Column]) -> DataFrame:
             fields.append(only(kind, (ITEM,), "codes").alias("item"))
         return F.struct(*fields)
 
-    rows = spread.select(
-        "customer_id", "basket", "counted", F.inline(F.array(*[entry(kind) for kind in labels]))
-    ).filter(F.col("label").isNotNull())
+    of_sale = F.array(*[entry(kind, label) for kind, label in labels.items()])
+    of_credit = F.array(entry(CREDITED, F.lit("").cast("string")))
+    entries = F.when(F.col("credited"), of_credit).otherwise(of_sale)
+    rows = spread.select("customer_id", "basket", "counted", F.inline_outer(entries)).filter(
+        F.col("label").isNotNull()
+    )
     keys = ["customer_id", "kind", "label"] + (["item"] if with_item else [])
     return _once_per_basket(rows, keys)
 
@@ -189,9 +202,8 @@ def customer_measures(lines: DataFrame, kinds: Sequence[str] | None = None) -> D
     their number goes to ``members``. A customer has at most one row for each item
     and label, so working on whole customers from here on is bounded by the catalog.
     """
-    labels = standard_labels()
-    chosen = {k: labels[k] for k in labels if kinds is None or k in kinds}
-    measured = label_measures(lines, chosen)
+    chosen = {k: v for k, v in standard_labels().items() if kinds is None or k in kinds}
+    measured = label_measures(lines, {k: v() for k, v in CARRIED.items()}, chosen)
     if ITEM not in chosen:
         return with_members(measured)
     item = F.col("item")
