@@ -307,6 +307,10 @@ def final_results(profile: DataFrame, need: DataFrame) -> DataFrame:
         F.col("necessity_lvl_2").alias("company_necessity"),
         F.col("necessity_lvl_2_recency").alias("company_recency_status"),
     )
-    return profile.select("country_id", "customer_id", "company_profile").join(
-        segments, "customer_id", "left"
+    return profile.join(segments, "customer_id", "left").select(
+        "country_id",
+        "customer_id",
+        "company_profile",
+        "company_necessity",
+        "company_recency_status",
     )

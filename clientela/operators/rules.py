@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -167,11 +167,15 @@ class NeedThresholds:
     months_since_last_trx: float
 
     @classmethod
-    def from_tree(cls, splits: dict[str, float]) -> NeedThresholds:
+    def from_tree(
+        cls, splits: Mapping[str, float], fallback: Mapping[str, float] | None = None
+    ) -> NeedThresholds:
+        """The splits of a tree; ``fallback`` serves features the tree did not use."""
+        splits = {**(fallback or {}), **splits}
         missing = [f.name for f in fields(cls) if f.name not in splits]
         if missing:
             raise ValueError(
-                f"the tree has no split on {missing}; give these thresholds or fit a deeper tree"
+                f"the tree has no split on {missing}; give a fallback for them"
             )
         return cls(**{f.name: float(splits[f.name]) for f in fields(cls)})
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.ml.classification import (
@@ -224,11 +225,14 @@ def run_month(
     at: str,
     train: bool = True,
     train_needs: bool = True,
+    fallback_thresholds: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """One month from sales to the final table, published under ``folder``.
 
     With ``train`` off the models, dictionary, coefficients, standardizer and
     thresholds of the latest training in the same folder are used.
+    ``fallback_thresholds`` serve features the surrogate tree has no split on;
+    without them such a tree is an error.
     """
     spark = src.sales.sparkSession
     home = f"{folder}/{cfg.country}"
@@ -266,7 +270,7 @@ def run_month(
     if train_needs:
         need = train_need(base, co.profile_subset(profile, TYPE_B), cfg)
         save_model(need.tree, saved(NEED_TREE))
-        thresholds = ru.NeedThresholds.from_tree(need.splits)
+        thresholds = ru.NeedThresholds.from_tree(need.splits, fallback_thresholds)
         row = [tuple(vars(thresholds).values())]
         publish_parquet(
             spark.createDataFrame(row, list(vars(thresholds))), saved("thresholds")
