@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import random
 from collections import defaultdict
+from dataclasses import replace
 
 from micro import CFG, ITEMS, sale, sources
 from pyspark.sql import functions as F
 
 from clientela.operators import features as fe
 from clientela.operators import measures as me
+from clientela.sources.tpch import TPCH_RUN, tpch_sources
 
 
 def values(df) -> dict:
@@ -39,8 +41,6 @@ def test_missing_key_parts_count_no_transaction(spark):
 def test_neighbouring_numbers_run_together(spark):
     src = sources(spark, [sale("1", doc=1, loc=23), sale("1", doc=12, loc=3)])
     assert fe.totals(src, CFG, everyone(spark, "1")).first().total_transactions == 1.0
-    from dataclasses import replace
-
     strict = replace(CFG, strict_trx_key=True)
     assert fe.totals(src, strict, everyone(spark, "1")).first().total_transactions == 2.0
 
@@ -143,14 +143,12 @@ def test_against_brute_force_with_a_hot_customer(spark):
         assert abs(got[key] - value) < 1e-12, key
 
 
-def test_lines_are_scanned_once_and_filters_reach_the_scan(spark, testdata):
-    from clientela.plans.queries import CFG as run, tpch_sources
-
+def test_lines_are_scanned_once_and_filters_reach_the_scan(spark, testdata, capsys):
     src = tpch_sources(spark, testdata)
-    measured = me.customer_measures(fe.feature_lines(src, run))
-    plan = measured._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("l_partkey") and plan.count("lineitem.parquet") <= 1
-    assert plan.count("FileScan parquet [l_orderkey") == 1
-    assert "GreaterThanOrEqual(o_orderdate" in plan or "o_orderdate" in plan
+    measured = me.customer_measures(fe.feature_lines(src, TPCH_RUN))
+    measured.explain("formatted")
+    plan = capsys.readouterr().out
+    assert plan.count("lineitem.parquet]") == 1
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
     for joined in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert joined not in plan
