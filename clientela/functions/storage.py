@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="clientela-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a temporary one in local tests only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="clientela-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
