@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="clientela-")
+#: A session's own setting for runs whose cluster names no checkpoint folder, such as tests.
+FOLDER_SETTING = "clientela.shared.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one in local tests only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folder()
+    """The folder in spark.checkpoint.dir or, where that is unset, in clientela.shared.dir."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FOLDER_SETTING, None)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return folder.rstrip("/")
+
+
+def has_folder(spark: SparkSession) -> bool:
+    return bool(
+        spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FOLDER_SETTING, None)
+    )
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
