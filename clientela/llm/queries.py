@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from clientela.llm import bpe, wavelet
+from clientela.llm import bpe, linededup, urlfilter, wavelet
+from clientela.llm.text import slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,7 +35,55 @@ def op1_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.document_checks(shards)
 
 
+@query
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            counts, lost, digests = [], [], []
+            for text, keep in zip(
+                piece["text"].to_pylist(), piece["_keep"].to_pylist(), strict=True
+            ):
+                lines, kept = linededup.kept_lines(text or "", keep)
+                counts.append(lines)
+                lost.append(lines - len(kept))
+                digests.append(hashlib.sha256("\n".join(kept).encode()).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [piece["doc_id"], pa.array(counts), pa.array(lost), pa.array(digests)],
+                ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
+            )
+
+    marked = linededup.with_bitmaps(docs, linededup.line_bitmaps(docs))
+    return marked.mapInArrow(
+        run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string"
+    )
+
+
 @query
 def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return bpe.round_trip_digests(docs, public_tokenizers.path(TOKENIZER))
+
+
+# The rules of the query, in the order of their statement.
+URL_RULES = (
+    urlfilter.Rule("allow", "com", "/"),
+    urlfilter.Rule("block", "example.com", "/en/"),
+    urlfilter.Rule("allow", "www.example.com", "/en/"),
+    urlfilter.Rule("block", "net", "/es/"),
+    urlfilter.Rule("block", "net", "/fr/"),
+)
+BLOCKED_HOSTS = (
+    "ads-track.example.com",
+    "adult-x.example.com",
+    "casino-win.example.net",
+    "cheap-pills.example.net",
+    "free-bets.example.net",
+    "spam-farm.example.org",
+)
+
+
+@query
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urlfilter.judge_urls(table(spark, folder, "pages"), URL_RULES, BLOCKED_HOSTS)

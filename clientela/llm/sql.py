@@ -2,4 +2,72 @@
 
 from __future__ import annotations
 
+from clientela.llm.queries import BLOCKED_HOSTS, URL_RULES
+from clientela.llm.urlfilter import UPPER
+
 ORACLES: dict[str, str] = {}
+
+LOWER = f"'{UPPER}', '{UPPER.lower()}'"
+SPACE = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
+
+
+def _url_filter() -> str:
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+    hosts = ", ".join(f"('{h}')" for h in BLOCKED_HOSTS)
+    return f"""
+    WITH rests AS (
+        SELECT page_id, CASE WHEN strpos(url, '://') > 0
+                             THEN substr(url, strpos(url, '://') + 3) END AS rest
+        FROM pages
+    ), parts AS (
+        SELECT page_id,
+               coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), {LOWER}), '') AS host,
+               coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+        FROM rests
+    ), rules(verdict, rule_host, rule_path) AS (VALUES {rules}),
+    blocked(blocked_host) AS (VALUES {hosts}),
+    fits AS (
+        SELECT page_id, rule_host || rule_path AS rule, verdict,
+               row_number() OVER (PARTITION BY page_id
+                                  ORDER BY length(rule_host || rule_path) DESC) AS place
+        FROM parts JOIN rules
+          ON (host = rule_host OR ends_with(host, '.' || rule_host))
+         AND starts_with(path, rule_path)
+    ), listed AS (
+        SELECT DISTINCT page_id FROM parts JOIN blocked
+          ON host = blocked_host OR ends_with(host, '.' || blocked_host)
+    )
+    SELECT p.page_id, p.host, p.path, f.rule,
+           coalesce(f.verdict, CASE WHEN l.page_id IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+    FROM parts p
+    LEFT JOIN (SELECT * FROM fits WHERE place = 1) f ON p.page_id = f.page_id
+    LEFT JOIN listed l ON p.page_id = l.page_id
+    """
+
+
+def _line_dedup() -> str:
+    return f"""
+    WITH lines AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+        FROM documents
+    ), keyed AS (
+        SELECT *, translate(trim(line, {SPACE}), {LOWER}) AS line_key FROM lines
+    ), shared AS (
+        SELECT line_key AS shared_key, max(doc_id) AS top FROM keyed
+        WHERE length(line_key) >= 40
+        GROUP BY line_key HAVING count(DISTINCT doc_id) >= 5
+    ), judged AS (
+        SELECT doc_id, line, pos, coalesce(doc_id < top, false) AS dropped
+        FROM keyed LEFT JOIN shared ON line_key = shared_key
+    )
+    SELECT doc_id, count(*) AS n_lines,
+           count(CASE WHEN dropped THEN 1 END) AS n_dropped,
+           sha256(coalesce(string_agg(CASE WHEN NOT dropped THEN line END, chr(10) ORDER BY pos),
+                           '')) AS kept_sha256
+    FROM judged GROUP BY doc_id
+    """
+
+
+ORACLES["op8_line_dedup"] = _line_dedup()
+ORACLES["op10_url_filter"] = _url_filter()
