@@ -7,9 +7,9 @@ from collections.abc import Callable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientela.llm import bpe, linededup, urlfilter, wavelet
+from clientela.llm import bpe, linededup, neardup, urlfilter, wavelet
 from clientela.llm.text import slices
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,13 @@ def op1_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.document_checks(shards)
 
 
+@query
+def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = neardup.near_duplicates(docs, neardup.NearDup(shingle=2, percent=80))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 @query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")

@@ -69,5 +69,39 @@ def _line_dedup() -> str:
     """
 
 
+def _near_duplicates() -> str:
+    return f"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(
+            regexp_split_to_array(translate(coalesce(text, ''), {LOWER}), '[ \\t-\\r]+'),
+            lambda w: length(w) > 0) AS w
+        FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN [array_to_string(w, ' ')]
+               ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS sh
+        FROM words WHERE len(w) > 0
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y
+        FROM shingles a JOIN shingles b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+        JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+        GROUP BY a.doc_id, b.doc_id, p.n, q.n
+        HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+    ), reach(x, y) AS (
+        SELECT x, y FROM links
+        UNION
+        SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+    ), roots AS (
+        SELECT x, min(y) AS root FROM reach GROUP BY x
+    )
+    SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles,
+           least(d.doc_id, coalesce(r.root, d.doc_id)) AS component_id,
+           d.doc_id = least(d.doc_id, coalesce(r.root, d.doc_id)) AS kept
+    FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN roots r ON r.x = d.doc_id
+    """
+
+
+ORACLES["op3_near_duplicates"] = _near_duplicates()
 ORACLES["op8_line_dedup"] = _line_dedup()
 ORACLES["op10_url_filter"] = _url_filter()
