@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientela.llm import bpe, linededup, neardup, urlfilter, wavelet
+from clientela.llm import bpe, linededup, neardup, quality, urlfilter, wavelet
 from clientela.llm.text import slices
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,15 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+@query
+def op6_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality.judge_quality(docs, labels).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "score", "kept",
+    )
+
+
 @query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
