@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientela.llm import bpe, linededup, neardup, quality, urlfilter, wavelet
+from clientela.llm import ann, bpe, langid, linededup, neardup, quality, urlfilter, wavelet
 from clientela.llm.text import slices
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,16 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+@query
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = langid.fit(docs, ~held_out)
+    return langid.with_language(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query
 def op6_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -51,6 +61,11 @@ def op6_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 @query
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
