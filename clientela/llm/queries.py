@@ -9,7 +9,19 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientela.llm import ann, bpe, langid, linededup, neardup, quality, urlfilter, wavelet
+from clientela.functions.storage import materialise
+from clientela.llm import (
+    ann,
+    bpe,
+    langid,
+    licenses,
+    linededup,
+    mixing,
+    neardup,
+    quality,
+    urlfilter,
+    wavelet,
+)
 from clientela.llm.text import slices
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +47,11 @@ def op1_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.document_checks(shards)
 
 
+@query
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
 @query
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -42,6 +59,24 @@ def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+@query
+def op4_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    cfg = mixing.MixConfig()
+    celled = mixing.with_cell(table(spark, folder, "documents"))
+    narrow = celled.select("doc_id", "_source", "_lang", "_topic", "_tokens")
+    narrow = materialise(narrow, "document-cells")
+    cells = materialise(mixing.raked_cells(narrow, cfg), "mix")
+    return mixing.with_probability(narrow, cells, cfg).select(
+        "doc_id",
+        F.col("_source").alias("source"),
+        F.col("_lang").alias("lang"),
+        F.col("_topic").alias("topic"),
+        F.col("_tokens").alias("n_tokens"),
+        F.round("_probability", 6).alias("probability"),
+        F.col("_kept").alias("kept"),
+    )
+
+
 @query
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")

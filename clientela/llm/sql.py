@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from clientela.llm.licenses import TEMPLATES, ScanConfig
+from clientela.llm.mixing import NONE, MixConfig
 from clientela.llm.queries import BLOCKED_HOSTS, URL_RULES
 from clientela.llm.urlfilter import UPPER
 
@@ -102,6 +104,110 @@ def _near_duplicates() -> str:
     """
 
 
+def _license_scan() -> str:
+    cfg = ScanConfig()
+    rows = ", ".join(
+        f"('{t.name}', {len(t.words())}, {t.shingles(cfg.shingle)}, {t.least(cfg)})"
+        for t in TEMPLATES
+    )
+    return f"""
+    WITH templates(license, m, parts, least) AS (VALUES {rows}),
+    words AS (
+        SELECT doc_id, list_filter(
+            regexp_split_to_array(translate(coalesce(text, ''), {LOWER}), '[ \\t-\\r]+'),
+            lambda w: length(w) > 0) AS w
+        FROM documents
+    ), starts AS (
+        SELECT doc_id, license, m, parts, least, w, unnest(range(0, len(w), m)) AS start
+        FROM words, templates
+    ), windows AS (
+        SELECT doc_id, license, parts, least, start, w[start + 1 : start + 2 * m] AS x FROM starts
+    ), held AS (
+        SELECT doc_id, license, parts, least, start, list_distinct(list_transform(
+            range(1, greatest(len(x) - 1, 1)),
+            lambda k: x[k] || ' ' || x[k + 1] || ' ' || x[k + 2])) AS sh
+        FROM windows WHERE len(x) >= 3
+    ), counted AS (
+        SELECT doc_id, license, start, least, len(parts) AS n_template,
+               len(list_filter(parts, lambda p: list_contains(sh, p))) AS n
+        FROM held
+    )
+    SELECT doc_id, license, max(n) AS n_found, max(n_template) AS n_template,
+           min(start) AS first_word, count(DISTINCT start) AS n_windows,
+           round(max(n) / max(n_template), 6) AS containment
+    FROM counted WHERE n >= least GROUP BY doc_id, license
+    """
+
+
+def _mixture() -> str:
+    cfg = MixConfig()
+    names = list(cfg.targets)
+    keys = ", ".join(names)
+    steps = [
+        f"""docs AS (
+            SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang,
+                   CASE WHEN text LIKE '% | %' THEN 'table' WHEN text LIKE '%!!%' THEN 'shout'
+                        WHEN n < 150 THEN 'short' WHEN n >= 1000 THEN 'long' ELSE 'prose'
+                   END AS topic, n AS n_tokens
+            FROM (SELECT *, len(list_filter(
+                      regexp_split_to_array(coalesce(text, ''), '[ \\t-\\r]+'),
+                      lambda w: length(w) > 0)) AS n
+                  FROM documents)
+        )""",
+        f"cells AS (SELECT {keys}, sum(n_tokens) AS tokens FROM docs GROUP BY {keys})",
+        "everything AS (SELECT sum(tokens) AS all_tokens FROM cells)",
+    ]
+    for name, target in cfg.targets.items():
+        steps.append(
+            f"""target_{name} AS (
+                SELECT {name}, t / sum(t) OVER () AS share
+                FROM (SELECT {name}, pow(sum(tokens), {target.power}) AS t FROM cells
+                      WHERE tokens > 0 GROUP BY {name})
+            )"""
+        )
+    steps.append(
+        f"w0 AS (SELECT {keys}, tokens, tokens / all_tokens AS weight FROM cells, everything)"
+    )
+    step = 0
+    for _ in range(cfg.rounds):
+        for name in names:
+            steps.append(
+                f"""w{step + 1} AS MATERIALIZED (
+                    SELECT c.* EXCLUDE (weight, have), CASE WHEN have > 0
+                           THEN weight * coalesce(share, 0) / have ELSE 0 END AS weight
+                    FROM (SELECT *, sum(weight) OVER (PARTITION BY {name}) AS have FROM w{step}) c
+                    LEFT JOIN target_{name} t ON c.{name} = t.{name}
+                )"""
+            )
+            step += 1
+    steps.append(
+        f"""s0 AS (SELECT w.*, 1.0::DOUBLE AS scale, all_tokens * {cfg.budget} AS budget,
+                         CASE WHEN tokens > 0 THEN weight * all_tokens * {cfg.budget} / tokens
+                              ELSE 0 END AS rate
+                  FROM w{step} w, everything)"""
+    )
+    for k in range(cfg.scale_rounds):
+        steps.append(
+            f"""s{k + 1} AS MATERIALIZED (
+                SELECT s.* EXCLUDE (scale, expected),
+                       CASE WHEN expected > 0 THEN scale * budget / expected ELSE 1.0 END AS scale
+                FROM (SELECT *, sum(least(1.0, scale * rate) * tokens) OVER () AS expected
+                      FROM s{k}) s
+            )"""
+        )
+    return f"""
+    WITH {", ".join(steps)}
+    SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens,
+           round(least(1.0, scale * rate), 6) AS probability,
+           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '{NONE}') || ':{cfg.seed}'),
+                               1, 13) AS BIGINT) / {float(1 << 52)!r} < least(1.0, scale * rate) AS kept
+    FROM docs d JOIN s{cfg.scale_rounds} c
+      ON d.source = c.source AND d.lang = c.lang AND d.topic = c.topic
+    """
+
+
+ORACLES["op2_license_scan"] = _license_scan()
+ORACLES["op4_source_mixture"] = _mixture()
 ORACLES["op3_near_duplicates"] = _near_duplicates()
 ORACLES["op8_line_dedup"] = _line_dedup()
 ORACLES["op10_url_filter"] = _url_filter()
