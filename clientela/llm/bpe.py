@@ -209,8 +209,11 @@ class Bpe:
                 ids += self._plain_ids(part)
         return ids
 
-    def encode_words(self, distinct: list[str]) -> list[bytes]:
-        return [np.array(self.encode(word), "<u4").tobytes() for word in distinct]
+    def encode_words(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and the ids of all words one after the other."""
+        found = [self.encode(word) for word in distinct]
+        ids = np.fromiter((i for own in found for i in own), np.uint32)
+        return np.fromiter(map(len, found), np.int64, len(found)), ids
 
     # Decoding -------------------------------------------------------------------------
 

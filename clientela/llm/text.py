@@ -58,3 +58,13 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of the values of each text."""
     total = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all strings one after the other, and where each starts and ends."""
+    raw = column.cast(pa.large_binary())
+    if not len(raw):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1, raw.offset * 8)
+    data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]

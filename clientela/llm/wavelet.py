@@ -221,22 +221,21 @@ class LibraryEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, np.bool_)
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
 
-    def other(self, distinct: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(distinct, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def letters(self, distinct: list[str]) -> list[bytes]:
-        """A run of letters is one word of the tokenizer and ends with its first word-end id."""
+    def other(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each string, and the ids of all of them one after the other."""
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(distinct, add_special_tokens=False)]
+        ids = np.fromiter((i for own in found for i in own), np.uint32)
+        return np.fromiter(map(len, found), np.int64, len(found)), ids
+
+    def letters(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``other``: a run of letters is one word and ends with its first word-end id."""
         texts = [
             " ".join(distinct[k : k + JOINED_WORDS]) for k in range(0, len(distinct), JOINED_WORDS)
         ]
-        out: list[bytes] = []
-        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            ids = np.array(found.ids, "<u4")
-            raw = ids.tobytes()
-            stops = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
-            out += [raw[a:b] for a, b in zip(stops[:-1], stops[1:], strict=True)]
-        return out
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(x.ids, np.uint32) for x in found] or [np.empty(0, np.uint32)])
+        stops = np.flatnonzero(self.ends[ids])
+        return np.diff(stops, prepend=-1), ids
 
 
 @lru_cache(maxsize=2)
@@ -338,28 +337,31 @@ def document_checks(shards: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, payload in zip(batch["first"].to_pylist(), batch["payload"], strict=True):
+            for number, payload in zip(batch["shard"].to_pylist(), batch["payload"], strict=True):
                 shard = WaveletMatrix.read(payload.as_py())
                 raw = memoryview(shard.tokens().astype("<u4", copy=False)).cast("B")
-                starts = np.concatenate(([0], shard.ends[:-1]))
+                starts = np.concatenate(([0], shard.ends[:-1]))[: len(shard.ends)]
                 sums = [
                     zlib.crc32(raw[4 * a : 4 * b])
                     for a, b in zip(starts.tolist(), shard.ends.tolist(), strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(np.full(len(starts), number)),
                         pa.array(shard.docs),
-                        pa.array(starts + first),
+                        pa.array(starts),
                         pa.array(shard.ends - starts),
                         pa.array(sums, pa.int64()),
                     ],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"],
+                    ["shard", "doc_id", "inside", "n_tokens", "ids_crc32"],
                 )
 
-    return (
-        shards.join(shard_starts(shards), "shard")
-        .select("first", "payload")
-        .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    read = shards.select("shard", "payload").mapInArrow(
+        run, "shard long, doc_id long, inside long, n_tokens long, ids_crc32 long"
+    )
+    # The narrow rows meet the starts, not the payloads.
+    return read.join(shard_starts(shards), "shard").select(
+        "doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 

@@ -6,42 +6,63 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from clientela.llm.text import coded, sums, words
+from clientela.llm.text import bytes_of, coded, sums, words
 
-Encode = Callable[[list[str]], list[bytes]]
+#: Strings to the number of ids of each, and the ids of all one after the other.
+Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
-MEMO_STEMS = 400_000
-MEMO_WORDS = 100_000
-#: Longer words are encoded where they stand and not remembered.
+MEMO_STRINGS = 400_000
+#: Longer strings are encoded where they stand and not remembered.
 MEMO_CHARS = 64
 #: Characters that end many words. No apostrophe: with letters it is a piece of its own.
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Below it, letters are letters to every library and lower case has no exceptions.
-PLAIN = "ɐ"
+#: Largest UTF-8 byte of characters below U+0240: there, letters are letters to every library
+#: and lower case has one exception, the dotted capital I.
+PLAIN_BYTE = 0xC8
+DOTTED = "İ"
+LETTERS = r"^\p{L}+"
 
 
-class Memo:
-    """Values of strings, remembered in two generations so that memory stays bounded."""
-
-    def __init__(self, size: int):
-        self.size = size
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+def id_lists(length: np.ndarray, ids: np.ndarray) -> pa.LargeListArray:
+    """Lists of these lengths, cut from the ids one after the other."""
+    return pa.LargeListArray.from_arrays(
+        np.concatenate(([0], np.cumsum(length, dtype=np.int64))), pa.array(ids, pa.uint32())
+    )
 
-    def get(self, key: str) -> bytes | None:
-        value = self.young.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.young[key] = value
-        return value
 
-    def put(self, key: str, value: bytes) -> None:
-        if len(key) <= MEMO_CHARS:
-            self.young[key] = value
+class Memo:
+    """Ids of the strings that were encoded last, a bounded number of them."""
+
+    def __init__(self, encode: Encode, size: int = MEMO_STRINGS):
+        self.encode, self.size = encode, size
+        self.strings = pa.array([], pa.large_string())
+        self.lists = id_lists(np.empty(0, np.int64), np.empty(0, np.uint32))
+
+    def ids(self, distinct: pa.Array) -> pa.LargeListArray:
+        """The ids of each string. Only what is not remembered is encoded."""
+        at = pc.index_in(distinct, value_set=self.strings).fill_null(-1)
+        at = at.to_numpy(zero_copy_only=False).astype(np.int64)
+        missing = at < 0
+        if missing.any():
+            at[missing] = len(self.strings) + np.arange(missing.sum())
+            fresh = distinct.filter(pa.array(missing))
+            made = id_lists(*self.encode(fresh.to_pylist()))
+            self.strings = pa.concat_arrays([self.strings, fresh])
+            self.lists = pa.concat_arrays([self.lists, made])
+        found = self.lists.take(pa.array(at))
+        if missing.any():
+            self._shrink()
+        return found
 
-    def age(self) -> None:
-        if len(self.young) > self.size:
-            self.young, self.old = {}, self.young
+    def _shrink(self) -> None:
+        short = pc.less_equal(pc.utf8_length(self.strings), MEMO_CHARS)
+        if not pc.all(short).as_py():
+            self.strings, self.lists = self.strings.filter(short), self.lists.filter(short)
+        if len(self.strings) > self.size:
+            self.strings = self.strings.slice(len(self.strings) - self.size // 2)
+            self.lists = self.lists.slice(len(self.lists) - self.size // 2)
 
 
 class WordMemo:
@@ -52,36 +73,36 @@ class WordMemo:
     """
 
     def __init__(self, letters: Encode, other: Encode):
-        self.letters, self.other = letters, other
-        self.words, self.stems = Memo(MEMO_WORDS), Memo(MEMO_STEMS)
-
-    def _encoded(self, keys: list[str], encode: Encode) -> dict[str, bytes]:
-        """Ids of these strings, remembered or encoded now."""
-        known = {key: self.stems.get(key) for key in keys}
-        fresh = [key for key, ids in known.items() if ids is None]
-        for key, ids in zip(fresh, encode(fresh), strict=True):
-            known[key] = ids
-            self.stems.put(key, ids)
-        return known
-
-    def ids(self, distinct: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each word."""
-        found = [self.words.get(word) for word in distinct]
-        cut: dict[int, tuple[str, str]] = {}
-        for k, ids in enumerate(found):
-            if ids is None:
-                word = distinct[k]
-                stem = word.rstrip(TAIL)
-                plain = stem.isalpha() and max(stem) < PLAIN and "İ" not in stem
-                cut[k] = (stem.lower(), word[len(stem) :]) if plain else ("", word)
-        stems = self._encoded([stem for stem, _ in cut.values() if stem], self.letters)
-        tails = self._encoded([tail for _, tail in cut.values() if tail], self.other)
-        for k, (stem, tail) in cut.items():
-            found[k] = stems.get(stem, b"") + tails.get(tail, b"")
-            self.words.put(distinct[k], found[k])
-        self.words.age()
-        self.stems.age()
-        return found
+        self.letters, self.other = Memo(letters), Memo(other)
+
+    def ids(self, distinct: pa.Array) -> pa.LargeListArray:
+        """The ids of each word."""
+        stems = pc.utf8_rtrim(distinct, TAIL)
+        sizes = pc.binary_length(stems).to_numpy(zero_copy_only=False)
+        data, offsets = bytes_of(stems)
+        full = sizes > 0
+        plain = np.zeros(len(distinct), np.bool_)
+        plain[full] = np.maximum.reduceat(data, offsets[:-1][full]) <= PLAIN_BYTE
+        plain &= pc.utf8_is_alpha(stems).to_numpy(zero_copy_only=False)
+        plain &= ~pc.match_substring(stems, DOTTED).to_numpy(zero_copy_only=False)
+        stem_of, kinds = coded(pc.utf8_lower(stems.filter(pa.array(plain))))
+        ids = self.letters.ids(kinds)
+        # What is no plain stem: tails of plain ones, and other words whole. "" has no ids.
+        cut = pc.binary_length(distinct).to_numpy(zero_copy_only=False) > sizes
+        tailed = np.flatnonzero(~plain | cut)
+        rest = distinct.take(pa.array(tailed))
+        behind = pc.replace_substring_regex(rest, LETTERS, "")
+        tail_of, tails = coded(pc.if_else(pa.array(plain[tailed]), behind, rest))
+        more = self.other.ids(tails)
+        nothing = id_lists(np.zeros(1, np.int64), np.empty(0, np.uint32))
+        pieces = pa.concat_arrays([nothing, ids, more])
+        first = np.zeros(len(distinct), np.int64)
+        second = np.zeros(len(distinct), np.int64)
+        first[plain] = 1 + stem_of
+        second[tailed] = 1 + len(ids) + tail_of
+        both = pieces.take(pa.array(np.stack((first, second), axis=1).ravel()))
+        length = pc.list_value_length(both).to_numpy(zero_copy_only=False)
+        return id_lists(length.reshape(-1, 2).sum(1), both.flatten().to_numpy())
 
 
 def token_ids(texts: pa.Array, memo: WordMemo) -> tuple[np.ndarray, np.ndarray]:
@@ -92,10 +113,8 @@ def token_ids(texts: pa.Array, memo: WordMemo) -> tuple[np.ndarray, np.ndarray]:
     """
     flat, offsets = words(texts)
     codes, distinct = coded(flat)
-    ids = memo.ids(distinct.to_pylist())
-    length = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
-    values = pa.array(np.frombuffer(b"".join(ids), "<u4"))
-    table = pa.LargeListArray.from_arrays(np.concatenate(([0], np.cumsum(length))), values)
-    tokens = table.take(pa.array(codes)).flatten().to_numpy()
+    lists = memo.ids(distinct)
+    length = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    tokens = lists.take(pa.array(codes)).flatten().to_numpy()
     ends = np.cumsum(sums(length[codes], offsets))
     return tokens, np.concatenate(([0], ends)).astype(np.int64)
