@@ -13,12 +13,13 @@ Documents are linked if the Jaccard similarity of their sets of word shingles is
    is dropped if the posterior probability that its similarity reaches the bound
    is below ``miss``; the prior is uniform. What is left is checked on the full
    sets of words.
-4. Components of the links so far. A bucket that now lies in one component has
-   nothing more to say, however large it is. In the others, the members that are
-   not in the hub's component are compared with all members of other components,
-   in blocks of signatures inside the tasks; only pairs that survive the pruning
-   become rows, and these are checked on the full sets too. So no link between
-   candidates is lost, and copies are never expanded into pairs.
+4. Components of the links so far. The group of a hub, all that shares a bucket
+   with it, has nothing more to say if it lies in one component, however large it
+   is. Otherwise its members outside the hub's component are compared with all its
+   members of other components: in blocks inside the tasks, by sizes, signature
+   batches, shingle hashes and at last the words. Only links become rows. Classes
+   that share a bucket share its hub's group, so no link between candidates is
+   lost, and neither copies nor near copies are expanded into pairs.
 
 With 4 rows in each of 32 bands a pair of similarity 0.8 shares no bucket with
 probability (1 - 0.8^4)^32 < 5e-8; pruning loses at most ``miss`` for each batch.
@@ -38,6 +39,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -45,7 +47,8 @@ from clientela.functions.storage import materialise
 from clientela.llm.components import smallest_reachable
 from clientela.llm.text import coded, slices, words
 
-BLOCK = 1024  # members of a bucket that one task compares at once
+BLOCK = 512  # members of a group that one task compares at once
+HASHED_AT_ONCE = 1024
 
 
 @dataclass(frozen=True)
@@ -99,22 +102,25 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield np.unique(total)
 
 
+@lru_cache(maxsize=4)
+def _hash_family(cfg: NearDup) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(cfg.seed)
+    masks = rng.integers(0, 1 << 32, (cfg.hashes, 1), np.uint32)
+    odds = rng.integers(0, 1 << 31, (cfg.hashes, 1), np.uint32) * np.uint32(2) + np.uint32(1)
+    return masks, odds
+
+
 def _min_hashes(shingles: np.ndarray, cfg: NearDup) -> np.ndarray:
     """``hashes`` minima over the set, each under a hash of its own."""
-    rng = np.random.default_rng(cfg.seed)
-    masks = rng.integers(0, 1 << 32, cfg.hashes, np.uint32)
-    odds = rng.integers(0, 1 << 31, cfg.hashes, np.uint32) * np.uint32(2) + np.uint32(1)
-    low = np.empty(cfg.hashes, np.uint32)
+    masks, odds = _hash_family(cfg)
+    low = np.full(cfg.hashes, 0xFFFFFFFF, np.uint32)
     x = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
-    buffer = np.empty_like(x)
-    shifted = np.empty_like(x)
-    for k in range(cfg.hashes):
-        np.bitwise_xor(x, masks[k], out=buffer)
-        np.multiply(buffer, odds[k], out=buffer)
-        np.right_shift(buffer, np.uint32(15), out=shifted)
-        np.bitwise_xor(buffer, shifted, out=buffer)
-        np.multiply(buffer, np.uint32(0x2C1B3C6D), out=buffer)
-        low[k] = buffer.min()
+    for start in range(0, len(x), HASHED_AT_ONCE):
+        mixed = x[None, start : start + HASHED_AT_ONCE] ^ masks
+        mixed *= odds
+        mixed ^= mixed >> np.uint32(15)
+        mixed *= np.uint32(0x2C1B3C6D)
+        np.minimum(low, mixed.min(1), out=low)
     return low
 
 
@@ -277,8 +283,8 @@ def shared_buckets(classes: DataFrame) -> DataFrame:
     return held.join(busy.filter(F.col("members") > 1), "bucket")
 
 
-def hub_pairs(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Hub of each bucket; and each other member paired with its hubs."""
+def hub_pairs(buckets: DataFrame) -> DataFrame:
+    """Each member (a) of a bucket with the hub (b) of the bucket."""
     met = buckets.groupBy("doc_id").agg(F.sum("members").alias("met"))
     ranked = buckets.join(met, "doc_id")
     hubs = materialise(
@@ -287,94 +293,148 @@ def hub_pairs(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("bucket", (-F.col("best.minus")).alias("hub")),
         "hubs",
     )
-    pairs = (
+    return (
         buckets.join(hubs, "bucket")
         .filter(F.col("doc_id") != F.col("hub"))
         .select(F.col("doc_id").alias("a"), F.col("hub").alias("b"))
         .distinct()
     )
-    return hubs, pairs
+
+
+class _Merged:
+    """Components that links found in one block have joined: further links add nothing."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def top(self, root: int) -> int:
+        while root in self.up:
+            root = self.up[root]
+        return root
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self.top(a), self.top(b)
+        if a != b:
+            self.up[max(a, b)] = min(a, b)
+
+
+def _block_links(rows: pa.Table, cfg: NearDup) -> Iterator[tuple[int, int]]:
+    """Links between probes and other members of different components in one block."""
+    doc, root, size = (rows[c].to_numpy() for c in ("doc_id", "root", "n_shingles"))
+    probe = rows["probe"].to_numpy()
+    asks, others = np.flatnonzero(probe), np.flatnonzero(~probe)
+    signature = _matrix(rows["signature"].combine_chunks(), cfg)
+    texts = rows["text"].combine_chunks()
+    sets = list(shingle_sets(texts, cfg.shingle))
+    # Screened on hashes: a collision can only let a pair through to the words.
+    kinds, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    other_codes = np.concatenate([codes[starts[k] : starts[k + 1]] for k in others])
+    other_starts = np.concatenate(([0], np.cumsum([len(sets[k]) for k in others])))[:-1]
+    mark = np.zeros(len(kinds), np.int64)
+    merged = _Merged()
+    for k in asks.tolist():
+        able = np.flatnonzero(
+            (root[others] != root[k]) & _sizes_fit(size[others], size[k], cfg.percent)
+        )
+        own = np.broadcast_to(signature[k], (len(able), cfg.hashes))
+        able = able[survivors(own, signature[others[able]], cfg)]
+        if not len(able):
+            continue
+        at = codes[starts[k] : starts[k + 1]]
+        mark[at] = 1
+        shared = np.add.reduceat(mark[other_codes], other_starts)[able]
+        mark[at] = 0
+        union = len(at) + np.array([len(sets[j]) for j in others[able]]) - shared
+        for j in others[able[100 * shared >= cfg.percent * union]].tolist():
+            if merged.top(int(root[k])) == merged.top(int(root[j])):
+                continue
+            a, b = _word_sets(texts.take(pa.array([k, j])), cfg)
+            if 100 * len(a & b) >= cfg.percent * len(a | b):
+                merged.join(int(root[k]), int(root[j]))
+                yield int(doc[k]), int(doc[j])
 
 
 def _split_pairs(cfg: NearDup):
-    """Members against each other inside one block of one bucket."""
+    """Each block of a hub's group, as rows of it come one after the other."""
+
+    def settled(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        probes = pc.sum(rows["probe"]).as_py()
+        if probes and probes < rows.num_rows:
+            found = list(_block_links(rows, cfg))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"]
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         now = None
-
-        def settled() -> Iterator[pa.RecordBatch]:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            probe = rows["probe"].to_numpy()
-            doc, root, size = (rows[c].to_numpy() for c in ("doc_id", "root", "n_shingles"))
-            signature = _matrix(rows["signature"].combine_chunks(), cfg)
-            asks, others = np.flatnonzero(probe), np.flatnonzero(~probe)
-            for k in asks.tolist():
-                able = others[(root[others] != root[k])
-                              & _sizes_fit(size[others], size[k], cfg.percent)]
-                own = np.broadcast_to(signature[k], (len(able), cfg.hashes))
-                found = able[survivors(own, signature[able], cfg)]
-                if len(found):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(found), doc[k])), pa.array(doc[found])], ["a", "b"]
-                    )
-
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch[c].to_numpy() for c in ("bucket", "row", "column")])
+            keys = np.stack([batch[c].to_numpy() for c in ("hub", "row", "column")])
             edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
             for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
                 if (key := tuple(keys[:, a])) != now:
                     if held:
-                        yield from settled()
+                        yield from settled(held)
                     held, now = [], key
                 held.append(batch.slice(a, b - a))
         if held:
-            yield from settled()
+            yield from settled(held)
 
     return run
 
 
-def split_bucket_pairs(
-    buckets: DataFrame, hubs: DataFrame, classes: DataFrame, roots: DataFrame, cfg: NearDup
+def split_group_links(
+    pairs: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame, cfg: NearDup
 ) -> DataFrame:
-    """Surviving pairs of different components in buckets that are not in one component.
+    """Links between different components inside the groups of hubs.
 
-    In such a bucket every member outside the hub's component is a probe. Probes and
-    members are dealt into blocks of ``BLOCK``, and a task compares one block of
-    probes with one block of members, so no bucket has to fit into one task.
+    The group of a hub is everything that shares a bucket with it in which it is the
+    hub, so two classes that share a bucket share a group. Members outside the hub's
+    component are probes. Probes and members are dealt into blocks of ``BLOCK``; a
+    task compares one block of probes with one block of members, by sizes,
+    signatures, hashes of shingles and at last words, and returns links only.
     """
-    rooted = buckets.join(roots, "doc_id")
-    own = rooted.groupBy("bucket").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size")
-    )
-    open_ones = own.filter(F.col("low") != F.col("high")).join(hubs, "bucket")
-    hub_root = roots.select(F.col("doc_id").alias("hub"), F.col("root").alias("hub_root"))
-    open_ones = open_ones.join(hub_root, "hub").select("bucket", "size", "hub_root")
+    root_of = roots.select(F.col("doc_id").alias("hub"), F.col("root").alias("hub_root"))
     members = (
-        rooted.drop("members")
-        .join(open_ones, "bucket")
+        pairs.select(F.col("a").alias("doc_id"), F.col("b").alias("hub"))
+        .join(roots, "doc_id")
+        .join(root_of, "hub")
+        .withColumn("probe", F.col("root") != F.col("hub_root"))
+    )
+    sizes = members.groupBy("hub").agg(
+        F.ceil(F.count_if("probe") / BLOCK).cast("int").alias("rows"),
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("columns"),
+        F.count(F.lit(1)).alias("size"),
+    )
+    sizes = sizes.filter((F.col("rows") > 0) & (F.col("size") > 1)).drop("size")
+    full = (
+        members.join(sizes, "hub")
         .join(classes.select("doc_id", "n_shingles", "signature"), "doc_id")
+        .join(texts, "doc_id")
+    )
+    slot = F.xxhash64("doc_id")
+    columns = ["hub", "row", "column", "probe", "doc_id", "root", "n_shingles", "signature", "text"]
+    # An inner array of places: a probe stands in every column of its row, a member in every
+    # row of its column, and a probe is a member too.
+    own_row = F.pmod(slot, F.col("rows")).cast("int")
+    own_column = F.pmod(slot, F.col("columns")).cast("int")
+    asked = F.transform(
+        F.sequence(F.lit(0), F.col("columns") - 1),
+        lambda c: F.struct(own_row.alias("row"), c.alias("column"), F.lit(True).alias("probe")),
     )
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own_block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    every_block = F.sequence(F.lit(0), F.col("blocks") - 1)
-    members = members.withColumn("blocks", blocks).withColumn("own", own_block)
-    columns = ["bucket", "row", "column", "probe", "doc_id", "root", "n_shingles", "signature"]
-    probes = members.filter(F.col("root") != F.col("hub_root"))
-    asked = (
-        probes.withColumn("probe", F.lit(True))
-        .withColumn("row", F.col("own"))
-        .withColumn("column", F.explode(every_block))
+    answering = F.transform(
+        F.sequence(F.lit(0), F.col("rows") - 1),
+        lambda r: F.struct(r.alias("row"), own_column.alias("column"), F.lit(False).alias("probe")),
     )
-    answering = (
-        members.withColumn("probe", F.lit(False))
-        .withColumn("column", F.col("own"))
-        .withColumn("row", F.explode(every_block))
+    places = F.when(F.col("probe"), F.concat(asked, answering)).otherwise(answering)
+    dealt = full.withColumn("place", F.explode(places)).select(
+        "hub", "place.row", "place.column", "place.probe", *columns[4:]
     )
-    dealt = asked.select(*columns).unionByName(answering.select(*columns))
-    keys = ["bucket", "row", "column"]
+    keys = ["hub", "row", "column"]
     return (
         dealt.repartition(*keys)
         .sortWithinPartitions(*keys)
@@ -412,15 +472,15 @@ def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> DataFrame:
         .dropDuplicates(["doc_id"]),
         "texts",
     )
-    hubs, pairs = hub_pairs(buckets)
+    pairs = materialise(hub_pairs(buckets), "pairs")
     links = materialise(
         confirmed_links(pruned_pairs(pairs, classes, cfg), texts, cfg), "hub-links"
     )
-    roots = _roots(needed, links)
-    more = split_bucket_pairs(buckets, hubs, classes, roots, cfg)
-    late = materialise(confirmed_links(more, texts, cfg), "late-links")
+    nodes = needed.select("doc_id")
+    roots = _roots(nodes, links)
+    late = materialise(split_group_links(pairs, classes, texts, roots, cfg), "late-links")
     if not late.isEmpty():
-        roots = _roots(needed, links.unionByName(late))
+        roots = _roots(nodes, links.unionByName(late))
     return _labelled(sets, firsts, roots)
 
 
