@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from clientela.functions.storage import materialise
-from clientela.llm.text import slices
+from clientela.llm.text import slices, unused
 
 SPACE = b" \t\n\v\f\r"
 MIN_CHARS = 40
@@ -218,36 +218,37 @@ def line_bitmaps(
     return keep_bitmaps(dropped_lines(docs, min_chars, min_docs))
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """All rows with their bitmap as ``_keep``, null where all lines stay."""
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, name: str = "_keep") -> DataFrame:
+    """All rows with their bitmap as column ``name``, null where all lines stay."""
+    doc_id, tag = unused(docs.columns, "_doc_id"), unused(docs.columns, "_tag")
     keyed = bitmaps.select(
-        F.col("doc_id").alias("_doc_id"), F.col("tag").alias("_tag"), F.col("keep").alias("_keep")
+        F.col("doc_id").alias(doc_id), F.col("tag").alias(tag), F.col("keep").alias(name)
     )
     # The bitmaps are the smaller side in every partition: no sort of the texts.
     return docs.join(
         keyed.hint("shuffle_hash"),
-        (docs["doc_id"] == F.col("_doc_id")) & (F.xxhash64(docs["text"]) == F.col("_tag")),
+        (docs["doc_id"] == F.col(doc_id)) & (F.xxhash64(docs["text"]) == F.col(tag)),
         "left",
-    ).drop("_doc_id", "_tag")
+    ).drop(doc_id, tag)
 
 
 def without_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """The same rows and columns with the dropped lines gone from ``text``."""
     columns = docs.columns
+    name = unused(columns, "_keep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
                 None if text is None else "\n".join(kept_lines(text, keep)[1])
                 for text, keep in zip(
-                    batch["text"].to_pylist(), batch["_keep"].to_pylist(), strict=True
+                    batch["text"].to_pylist(), batch[name].to_pylist(), strict=True
                 )
             ]
-            at = batch.schema.get_field_index("text")
-            out = [pa.array(texts, pa.string()) if k == at else batch.column(k)
-                   for k in range(len(columns))]
+            out = list(batch.columns[: len(columns)])
+            out[batch.schema.get_field_index("text")] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(out, columns)
 
-    marked = with_bitmaps(docs, bitmaps)
-    touched = marked.filter(F.col("_keep").isNotNull()).mapInArrow(run, docs.schema)
-    return marked.filter(F.col("_keep").isNull()).drop("_keep").unionByName(touched)
+    marked = with_bitmaps(docs, bitmaps, name)
+    touched = marked.filter(F.col(name).isNotNull()).mapInArrow(run, docs.schema)
+    return marked.filter(F.col(name).isNull()).drop(name).unionByName(touched)

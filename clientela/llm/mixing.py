@@ -100,7 +100,8 @@ def _with_targets(cells: DataFrame, cfg: MixConfig) -> DataFrame:
         else:
             wish = F.lit(None).cast("double")
             for value, share in target.shares.items():
-                wish = F.when((F.col(f"_{name}") == value) & (tokens > 0), F.lit(float(share))).otherwise(wish)
+                known = (F.col(f"_{name}") == value) & (tokens > 0)
+                wish = F.when(known, F.lit(float(share))).otherwise(wish)
         cells = cells.withColumn("wish", F.coalesce(wish, F.lit(0.0)))
         # Each value counts once: its first cell stands for it.
         first = F.row_number().over(own.orderBy(*(f"_{d}" for d in cfg.targets))) == 1
@@ -158,7 +159,9 @@ def with_probability(docs_with_cell: DataFrame, cells: DataFrame, cfg: MixConfig
 
 def mixed(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     """The documents drawn, with the columns they came with."""
-    celled = with_cell(docs)
+    # The row travels as one struct, so its names meet none of those used here.
+    row = F.struct(*docs.columns).alias("row")
+    celled = with_cell(docs.select(row, "doc_id", "source", "lang", "text"))
     cells = materialise(raked_cells(celled, cfg), "mix")
     kept = with_probability(celled, cells, cfg).filter("_kept")
-    return kept.select(*docs.columns)
+    return kept.select("row.*")

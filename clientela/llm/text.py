@@ -31,6 +31,14 @@ def slices(
             start = stop
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """A column name like ``name`` that is not among the columns, whatever their case."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def filled(column: pa.Array) -> pa.Array:
     """Strings with the empty text for null."""
     return pc.fill_null(column.cast(pa.large_string()), "")
