@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clientela.functions.storage import scratch_path
 from clientela.llm import bpe, langid, linededup, mixing, neardup
+from clientela.llm.text import unused
 
 #: Less than an even chance between two languages: the text is in none that is known.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -23,12 +24,12 @@ TOKENIZER = "word_bpe_49k.json"
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter, and those whose language the model cannot tell."""
     model = langid.fit(docs)
-    told = langid.with_language(docs, model, "_lang_pred", "_lang_score")
-    known = F.col("_lang_pred") != langid.UNKNOWN
     if not model.names:  # nothing is labelled, so nothing can be told apart
-        known = F.regexp_like(F.coalesce("text", F.lit("")), F.lit("\\p{L}"))
-        return docs.filter(known)
-    return told.filter(known & (F.col("_lang_score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+        return docs.filter(F.regexp_like(F.coalesce("text", F.lit("")), F.lit("\\p{L}")))
+    name, score = unused(docs.columns, "lang_pred"), unused(docs.columns, "lang_score")
+    told = langid.with_language(docs, model, name, score)
+    known = (F.col(name) != langid.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE)
+    return told.filter(known).drop(name, score)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +41,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies (five-word shingles, 0.8), the smallest."""
     found = neardup.near_duplicates(docs, neardup.NearDup(shingle=5, percent=80))
     copies = found.filter(F.col("doc_id") != F.col("component_id"))
-    copies = copies.select(F.col("doc_id").alias("_copy"))
-    return docs.join(copies, docs["doc_id"] == F.col("_copy"), "left_anti")
+    name = unused(docs.columns, "copy")
+    copies = copies.select(F.col("doc_id").alias(name))
+    return docs.join(copies, docs["doc_id"] == F.col(name), "left_anti")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
