@@ -112,7 +112,7 @@ def fit_forest(sample: np.ndarray, cfg: ForestConfig) -> Forest:
     width = sample.shape[1] if sample.ndim == 2 else 0
     opened = min(leaves, max(cfg.least_leaves, int(np.ceil(cfg.open_share * leaves))))
     return Forest(
-        np.array(normals, np.float64).reshape(-1, width), np.array(cuts, np.float64),
+        np.array(normals, np.float64).reshape(len(normals), width), np.array(cuts, np.float64),
         np.array(low, np.int64), np.array(high, np.int64), np.array(roots, np.int64),
         leaves, opened,
     )

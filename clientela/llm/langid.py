@@ -216,7 +216,7 @@ def _learned(sample, idf: np.ndarray, cfg: LangConfig) -> LangModel:
         for at, x, own in learned:
             leader.learn(at, x, own)
     weights = leader.weights()
-    scores = np.array([x @ weights[at] for at, x, _ in held]).reshape(-1, len(names))
+    scores = np.array([x @ weights[at] for at, x, _ in held]).reshape(len(held), len(names))
     heat = _temperature(scores, np.array([own for _, _, own in held], np.int64))
     return LangModel(cfg, names, idf, weights, heat)
 

@@ -107,7 +107,8 @@ def _with_targets(cells: DataFrame, cfg: MixConfig) -> DataFrame:
         first = F.row_number().over(own.orderBy(*(f"_{d}" for d in cfg.targets))) == 1
         cells = cells.withColumn("one", F.when(first, F.col("wish")).otherwise(0.0))
         total = F.sum("one").over(Window.partitionBy())
-        cells = cells.withColumn(f"target_{name}", F.col("wish") / total).drop("wish", "one")
+        share = F.coalesce(F.try_divide("wish", total), F.lit(0.0))
+        cells = cells.withColumn(f"target_{name}", share).drop("wish", "one")
     return cells
 
 
@@ -120,9 +121,8 @@ def raked_cells(docs_with_cell: DataFrame, cfg: MixConfig = MixConfig()) -> Data
     cells = materialise(cells, "cells")
     cells = _gathered(cells)
     everything = Window.partitionBy()
-    cells = _with_targets(cells, cfg).withColumn(
-        "weight", F.col("tokens") / F.sum("tokens").over(everything)
-    )
+    share = F.try_divide("tokens", F.sum("tokens").over(everything))
+    cells = _with_targets(cells, cfg).withColumn("weight", F.coalesce(share, F.lit(0.0)))
     for k in range(1, cfg.rounds + 1):
         for name in cfg.targets:
             have = F.sum("weight").over(Window.partitionBy(f"_{name}"))
