@@ -465,9 +465,11 @@ def near_duplicates(docs: DataFrame, cfg: NearDup = NearDup()) -> DataFrame:
     needed = materialise(
         buckets.select("doc_id").distinct().join(classes.select("doc_id", "tag"), "doc_id"), "needed"
     )
+    # The same plan at every size: both sides are dealt by key, and the keys are looked up
+    # without a sort of the texts.
     texts = materialise(
         docs.select("doc_id", "text", F.xxhash64("text").alias("tag"))
-        .join(needed, ["doc_id", "tag"])
+        .join(needed.hint("shuffle_hash"), ["doc_id", "tag"])
         .select("doc_id", "text")
         .dropDuplicates(["doc_id"]),
         "texts",
