@@ -80,7 +80,11 @@ class FeatureSetConfig:
 
 @dataclass(frozen=True)
 class RunConfig:
-    """One monthly run. Defaults are the production values of the segmentation."""
+    """One monthly run. Defaults are the production values of the segmentation.
+
+    ``training_rows`` bounds the labelled customers that the classifier is fitted on
+    (by a hash of the customer); None fits on all of them.
+    """
 
     country: str = "CL"
     period: int = 202001
@@ -100,16 +104,19 @@ class RunConfig:
 
     model: str = "gbt"  # or "logreg"
     threshold: float = 0.5
-    tree_depth: int = 5
-    trees: int = 20
+    tree_depth: int = 20
+    trees: int = 400
+    training_rows: int | None = None
     learning_rate: float = 0.1
     logreg_iterations: int = 20000
 
     cluster_init: str = "random"  # "k-means||" or "pca"
     cluster_iterations: int = 1000
-    cluster_restarts: int = 5
+    cluster_restarts: int = 10
 
     strict_trx_key: bool = False
+    strict_store_label: bool = False
+    canonical_loyalty: bool = False
     dedupe_ggee: bool = False
 
     profile_set: FeatureSetConfig = field(

@@ -60,8 +60,11 @@ def period_last_day(period: Column) -> Column:
     return F.date_sub(period_end(period), 1)
 
 
-def store_label(location: Column) -> Column:
-    return F.lpad(location.cast("string"), 3, "0")
+def store_label(location: Column, strict: bool = False) -> Column:
+    """Three characters: longer numbers lose their end, unless ``strict`` keeps them whole."""
+    text = location.cast("string")
+    short = F.lpad(text, 3, "0")
+    return F.when(F.length(text) > 3, text).otherwise(short) if strict else short
 
 
 def two_digits(number: Column) -> Column:

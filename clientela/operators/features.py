@@ -228,8 +228,8 @@ def features(
         kinds.update(emitted.needs)
         kinds.add(m.ITEM if emitted.kind in ITEM_KINDS else emitted.kind)
     lines = feature_lines(src, cfg, credit_notes=m.CREDITED in kinds)
-    measured = m.customer_measures(lines, sorted(kinds))
-    return emit_features(measured, customers, chosen)
+    measured = m.customer_measures(lines, sorted(kinds), cfg.strict_store_label)
+    return as_features(emit_features(measured, customers, chosen))
 
 
 def emit_features(

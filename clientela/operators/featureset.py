@@ -59,10 +59,20 @@ def _scale(method: str) -> tuple[Column, Column]:
     raise ValueError(f"unknown standardization {method!r}, use {Z_SCORE!r} or {MIN_MAX!r}")
 
 
-def _rescale(features: DataFrame, parameters: DataFrame, value: Column) -> DataFrame:
-    """``parameters`` should be a written table: its size decides on a broadcast."""
-    scales = parameters.drop("period", "std_type").withColumn("known", F.lit(True))
-    result = F.when(F.col("known"), value).otherwise(F.col("feature_value"))
+def _rescale(
+    features: DataFrame, parameters: DataFrame, method: str, value: Column
+) -> DataFrame:
+    """``parameters`` should be a written table: its size decides on a broadcast.
+
+    Parameters that were fitted for another method are an error.
+    """
+    scales = parameters.drop("period").withColumn("known", F.lit(True))
+    other = F.concat(F.lit(f"not fitted for {method} but for "), F.col("std_type"))
+    result = (
+        F.when(F.col("known") & (F.col("std_type") != method), F.raise_error(other).cast("double"))
+        .when(F.col("known"), value)
+        .otherwise(F.col("feature_value"))
+    )
     return features.join(scales, "feature_name", "left").select(
         *[c for c in features.columns if c != "feature_value"], result.alias("feature_value")
     )
@@ -71,13 +81,13 @@ def _rescale(features: DataFrame, parameters: DataFrame, value: Column) -> DataF
 def apply_standardizer(features: DataFrame, parameters: DataFrame, method: str) -> DataFrame:
     """Standardize features that have parameters; the others pass as they are."""
     origin, unit = _scale(method)
-    return _rescale(features, parameters, (F.col("feature_value") - origin) / unit)
+    return _rescale(features, parameters, method, (F.col("feature_value") - origin) / unit)
 
 
 def invert_standardizer(features: DataFrame, parameters: DataFrame, method: str) -> DataFrame:
     """Back to original values, for the features that are present."""
     origin, unit = _scale(method)
-    return _rescale(features, parameters, F.col("feature_value") * unit + origin)
+    return _rescale(features, parameters, method, F.col("feature_value") * unit + origin)
 
 
 def feature_set(

@@ -44,16 +44,8 @@ def valid_sales(sales: DataFrame, cfg: RunConfig) -> DataFrame:
     )
 
 
-def credit_notes(sales: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Credit notes of the window, whatever their sign."""
-    start, end = period_window(cfg.period, cfg.months)
-    return dated(in_scope(sales, cfg), start, end).filter(
-        F.col("sales_return_type_cd") == CREDIT_NOTE
-    )
-
-
 def sales_and_credit_notes(sales: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Both of the above in one scan."""
+    """The above and the credit notes of the window, whatever their sign, in one scan."""
     start, end = period_window(cfg.period, cfg.months)
     kind = F.col("sales_return_type_cd")
     return dated(in_scope(sales, cfg), start, end).filter(

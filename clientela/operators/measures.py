@@ -71,12 +71,12 @@ CARRIED: dict[str, Callable[[], Column]] = {
 }
 
 
-def standard_labels() -> dict[str, Column]:
+def standard_labels(strict_store: bool = False) -> dict[str, Column]:
     """The label of a sale line for each kind; NULL where the line does not count for it."""
     present = F.lit("")
     return {
         ALL: present,
-        STORE: store_label(F.col("location")),
+        STORE: store_label(F.col("location"), strict_store),
         LOCATION: F.col("location").cast("string"),
         HOUR: two_digits(F.col("hour")),
         WEEKDAY: weekday_label(F.col("day")),
@@ -97,7 +97,15 @@ def basket_key() -> Column:
     Lines without a transaction count for no transaction, so where they go is free:
     the hash keeps them from gathering in one partition.
     """
-    line = F.xxhash64("item_id", "st_extended_net_amt")
+    line = F.xxhash64(
+        "item_id",
+        "st_extended_net_amt",
+        "unit_cnt",
+        "sales_return_dt",
+        "sales_return_document_num",
+        "location_id",
+        "transaction_dttm",
+    )
     return F.coalesce(F.col("trx_key"), F.concat(F.lit("?"), line.cast("string")))
 
 
@@ -195,14 +203,17 @@ def with_members(measured: DataFrame) -> DataFrame:
     )
 
 
-def customer_measures(lines: DataFrame, kinds: Sequence[str] | None = None) -> DataFrame:
+def customer_measures(
+    lines: DataFrame, kinds: Sequence[str] | None = None, strict_store: bool = False
+) -> DataFrame:
     """Measures of each customer, partitioned by customer.
 
     Rows of the kind ``item`` are turned into the distinct counts taken over items:
     their number goes to ``members``. A customer has at most one row for each item
     and label, so working on whole customers from here on is bounded by the catalog.
     """
-    chosen = {k: v for k, v in standard_labels().items() if kinds is None or k in kinds}
+    labels = standard_labels(strict_store)
+    chosen = {k: v for k, v in labels.items() if kinds is None or k in kinds}
     measured = label_measures(lines, {k: v() for k, v in CARRIED.items()}, chosen)
     if ITEM not in chosen:
         return with_members(measured)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.classification import (
@@ -11,15 +12,14 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
 )
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.clustering import KMeans as CentreKMeans
-from pyspark.mllib.clustering import KMeansModel as CentreKMeansModel
-from pyspark.mllib.linalg import Vectors
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clientela.config import RunConfig
+from clientela.functions.columns import hash_below
 
 BOOSTED = ("gbt", "xgboost")
 LOGISTIC = "logreg"
@@ -30,7 +30,20 @@ LEVEL_1_SEGMENTS = {0: "typeB_A", 1: "typeB_B"}
 
 
 def train_classifier(vectors: DataFrame, cfg: RunConfig):
-    """Fit on ``features`` and ``target``; the caller keeps the vectors in a written table."""
+    """Fit on ``features`` and ``target``; the caller keeps the vectors in a written table.
+
+    Of more than ``cfg.training_rows`` labelled rows about that many are taken, by a
+    hash of the customer.
+    """
+    counts = {row["target"]: row["count"] for row in vectors.groupBy("target").count().collect()}
+    for target in (0, 1):
+        if not counts.get(target):
+            raise ValueError(f"no training customer of class {target}: nothing to tell apart")
+    rows = sum(counts.values())
+    if cfg.training_rows is not None and rows > cfg.training_rows:
+        share = cfg.training_rows / rows
+        vectors = vectors.filter(hash_below(F.col("customer_id"), cfg.seed, "fit", share))
+        rows = cfg.training_rows
     labelled = vectors.withColumn("label", F.col("target").cast("double"))
     if cfg.model in BOOSTED:
         trees = GBTClassifier(
@@ -44,7 +57,6 @@ def train_classifier(vectors: DataFrame, cfg: RunConfig):
         return trees.fit(labelled)
     if cfg.model == LOGISTIC:
         # An L2 penalty of 1 on the summed loss is 1/n on the mean loss.
-        rows = labelled.count()
         return LogisticRegression(
             maxIter=cfg.logreg_iterations,
             regParam=1.0 / max(rows, 1),
@@ -58,11 +70,14 @@ def score(model, vectors: DataFrame, cfg: RunConfig) -> DataFrame:
     """Probability of typeB and the class above the threshold."""
     probability = vector_to_array("probability")[1]
     kept = [c for c in vectors.columns if c != "features"]
-    return (
-        model.transform(vectors)
-        .select(*kept, probability.alias("prob_typeB"))
-        .withColumn("prediction", F.when(F.col("prob_typeB") > cfg.threshold, 1).otherwise(0))
-    )
+    scored = model.transform(vectors).select(*kept, probability.alias("prob_typeB"))
+    return with_prediction(scored, cfg)
+
+
+def with_prediction(scored: DataFrame, cfg: RunConfig) -> DataFrame:
+    """The class of each score: 1 above the threshold."""
+    above = F.col("prob_typeB") > cfg.threshold
+    return scored.withColumn("prediction", F.when(above, 1).otherwise(0))
 
 
 def with_run(df: DataFrame, cfg: RunConfig, classified_at: str, model: str) -> DataFrame:
@@ -133,55 +148,84 @@ def coefficients(model, dictionary: DataFrame, cfg: RunConfig, created_at: str)
 
 def fit_clusters(vectors: DataFrame, k: int, cfg: RunConfig):
     """k-means; of several seeded starts the one with the lowest cost."""
-    if cfg.cluster_init == "pca":
-        return fit_clusters_from_pca(vectors, k, cfg)
-    mode = {"k-means++": "k-means||"}.get(cfg.cluster_init, cfg.cluster_init)
-    fitted = [
-        KMeans(
-            k=k, initMode=mode, maxIter=cfg.cluster_iterations, seed=cfg.seed + restart
-        ).fit(vectors)
-        for restart in range(cfg.cluster_restarts)
-    ]
-    return min(fitted, key=lambda model: model.summary.trainingCost)
-
+    # Read by every step of every start.
+    held = vectors.select("features").persist()
+    try:
+        if cfg.cluster_init == "pca":
+            return fit_clusters_from_pca(held, k, cfg)
+        mode = {"k-means++": "k-means||"}.get(cfg.cluster_init, cfg.cluster_init)
+        fitted = [
+            KMeans(
+                k=k, initMode=mode, maxIter=cfg.cluster_iterations, seed=cfg.seed + restart
+            ).fit(held)
+            for restart in range(cfg.cluster_restarts)
+        ]
+        return min(fitted, key=lambda model: model.summary.trainingCost)
+    finally:
+        held.unpersist()
+
+
+def clusters_of(spark: SparkSession, centres: Sequence[Sequence[float]]) -> KMeansModel:
+    """A k-means model with given centres: it assigns, is saved and is loaded as any other."""
+    jvm = spark.sparkContext._jvm
+    points = spark.sparkContext._gateway.new_array(
+        jvm.org.apache.spark.mllib.linalg.Vector, len(centres)
+    )
+    for k, centre in enumerate(centres):
+        point = jvm.org.apache.spark.mllib.linalg.Vectors.dense
+        points[k] = point(_doubles(spark, centre))
+    parent = jvm.org.apache.spark.mllib.clustering.KMeansModel(points)
+    uid = f"kmeans_{uuid.uuid4().hex[:12]}"
+    return KMeansModel(jvm.org.apache.spark.ml.clustering.KMeansModel(uid, parent))
 
-class StartedClusters:
-    """Clusters found from given start centres, with the centres as their state."""
 
-    def __init__(self, centres: Sequence[Sequence[float]]) -> None:
-        self.centres = [[float(x) for x in c] for c in centres]
+def _doubles(spark: SparkSession, values: Sequence[float]):
+    array = spark.sparkContext._gateway.new_array(
+        spark.sparkContext._jvm.double, len(values)
+    )
+    for k, value in enumerate(values):
+        array[k] = float(value)
+    return array
 
-    def clusterCenters(self) -> list[list[float]]:
-        return self.centres
 
-    def transform(self, vectors: DataFrame) -> DataFrame:
-        return vectors.withColumn("prediction", nearest_centre(self.centres)["cluster"])
+CENTRE_SHIFT = 1e-4
 
 
-def fit_clusters_from_pca(vectors: DataFrame, k: int, cfg: RunConfig) -> StartedClusters:
+def fit_clusters_from_pca(vectors: DataFrame, k: int, cfg: RunConfig) -> KMeansModel:
     """k-means that starts at the first ``k`` principal components.
 
     With fewer features than clusters the components are fewer; the start is then
-    filled up with their negatives.
+    filled up with their negatives. Each step is one job: assign, and average by
+    cluster; only the k centres come to the driver. A cluster without rows keeps its
+    centre.
     """
     width = vectors.select(F.size(vector_to_array("features"))).first()[0]
     components = PCA(k=min(k, width), inputCol="features", outputCol="c").fit(vectors).pc
     columns = [list(column) for column in components.toArray().T]
-    start = (columns + [[-x for x in c] for c in columns])[:k]
-    points = vectors.select("features").rdd.map(lambda row: Vectors.fromML(row.features))
-    points.cache()
-    model = CentreKMeans.train(
-        points,
-        k,
-        maxIterations=cfg.cluster_iterations,
-        initialModel=CentreKMeansModel([Vectors.dense(c) for c in start]),
-    )
-    points.unpersist()
-    return StartedClusters([c.tolist() for c in model.clusterCenters])
+    centres = (columns + [[-x for x in c] for c in columns])[:k]
+    spark = vectors.sparkSession
+    for _ in range(cfg.cluster_iterations):
+        assigned = clusters_of(spark, centres).transform(vectors.select("features"))
+        means = assigned.groupBy("prediction").agg(Summarizer.mean(F.col("features")).alias("m"))
+        moved = list(centres)
+        for row in means.collect():
+            moved[row.prediction] = [float(x) for x in row.m]
+        shift = max(
+            sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+            for a, b in zip(centres, moved, strict=True)
+        )
+        centres = moved
+        if shift <= CENTRE_SHIFT**2:
+            break
+    return clusters_of(spark, centres)
 
 
 def nearest_centre(centres: Sequence[Sequence[float]]) -> Column:
-    """(distance, cluster) of the nearest centre, as an expression over ``features``."""
+    """(distance, cluster) of the nearest centre, as an expression over ``features``.
+
+    For the few features of a summary: every coordinate stands in the plan. Models
+    assign clusters themselves.
+    """
     values = vector_to_array("features")
 
     def squared(centre: Sequence[float]) -> Column:
@@ -260,7 +304,10 @@ def fill_level_1(
 
 
 def fit_surrogate_tree(clustered: DataFrame, cfg: RunConfig) -> DecisionTreeClassificationModel:
-    """A tree of depth 2 that tells the clusters apart by original feature values."""
+    """A tree of depth 2 that tells the clusters apart by original feature values.
+
+    Its splits are taken from at most 256 bins of each feature.
+    """
     labelled = clustered.withColumn("label", F.col("cluster").cast("double"))
     return DecisionTreeClassifier(maxDepth=2, seed=cfg.seed, maxBins=256).fit(labelled)
 

@@ -40,6 +40,14 @@ def _any(condition: Column, window) -> Column:
     return F.coalesce(F.bool_or(condition).over(window), F.lit(False))
 
 
+def _loyalty(src: Sources, cfg: RunConfig) -> DataFrame:
+    """Loyalty customers; their ids are compared as they are unless the run wants them trimmed."""
+    known = in_country(src.main_customers, cfg)
+    if cfg.canonical_loyalty:
+        known = known.withColumn("customer_id", F.trim("customer_id"))
+    return known
+
+
 def apply_profile_rules(
     scored: DataFrame,
     cohorts: Cohorts,
@@ -83,7 +91,7 @@ def apply_profile_rules(
     )
     for part in (
         listed(cohorts.invoice, "invoice"),
-        listed(in_country(src.main_customers, cfg), "loyalty"),
+        listed(_loyalty(src, cfg), "loyalty"),
         listed(in_country(src.exclusions, cfg), "excluded"),
         listed(cohorts.direct, "direct"),
         large,

@@ -344,6 +344,7 @@ def like_any(column: str, patterns: tuple[str, ...]) -> str:
     return "(" + " OR ".join(f"{column} LIKE '{p}'" for p in patterns) + ")"
 
 
+# The name patterns of the profile features and of the standardized ones.
 PROFILE_PATTERNS = (
     "avg_units_trx", "per_sales_ntcr", "per_trx_channel_%", "per_trx_cuchi_store",
     "per_trx_hour_%", "per_trx_N0%", "per_trx_N1%", "per_trx_N2%", "per_trx_ntcr",

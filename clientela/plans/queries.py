@@ -75,10 +75,9 @@ def _stand_in_scores(base: mp.Base) -> DataFrame:
     with_sales = base.features.filter(F.col("feature_name") == "total_transactions")
     known = base.customers.join(with_sales.select("customer_id"), "customer_id", "left_semi")
     indexed = ds.customer_dictionary(known)
-    return (
-        known.join(indexed, "customer_id")
-        .withColumn("prob_typeB", F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0))
-        .withColumn("prediction", F.when(F.col("prob_typeB") > 0.5, 1).otherwise(0))
+    drawn = F.conv(digits, 16, 10).cast("double") / F.lit(4294967296.0)
+    return mo.with_prediction(
+        known.join(indexed, "customer_id").withColumn("prob_typeB", drawn), CFG
     )
 
 
@@ -506,7 +505,7 @@ def classifier_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def _trained(spark: SparkSession, folder: str, model: str) -> tuple[Sources, mp.Base, RunConfig, mp.ProfileModel]:
     src, base = _base(spark, folder)
-    cfg = replace(CFG, model=model, logreg_iterations=100)
+    cfg = replace(CFG, model=model)
     return src, base, cfg, mp.train_profile(base, src, cfg, AT)
 
 
