@@ -11,6 +11,7 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
+    LogisticRegressionModel,
 )
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
@@ -188,6 +189,17 @@ def _doubles(spark: SparkSession, values: Sequence[float]):
     return array
 
 
+def logistic_of(
+    spark: SparkSession, coefficients: Sequence[float], intercept: float
+) -> LogisticRegressionModel:
+    """A logistic model with given coefficients."""
+    jvm = spark.sparkContext._jvm
+    weights = jvm.org.apache.spark.ml.linalg.Vectors.dense(_doubles(spark, coefficients))
+    uid = f"logreg_{uuid.uuid4().hex[:12]}"
+    made = jvm.org.apache.spark.ml.classification.LogisticRegressionModel
+    return LogisticRegressionModel(made(uid, weights, float(intercept)))
+
+
 CENTRE_SHIFT = 1e-4
 
 

@@ -18,16 +18,20 @@ def cte(name: str, sql: str) -> None:
     CTES[name] = sql.strip()
 
 
-def with_ctes(sql: str) -> str:
-    """Prefix a statement with the CTEs it needs, in order of definition."""
+def with_ctes(sql: str, instead: dict[str, str] | None = None) -> str:
+    """Prefix a statement with the CTEs it needs, in order of definition.
+
+    ``instead`` gives some of them another body.
+    """
+    bodies = CTES | (instead or {})
     needed: set[str] = set()
     todo = [sql]
     while todo:
         words = set(re.findall(r"\b[a-z_0-9]+\b", todo.pop()))
-        for name in (words & CTES.keys()) - needed:
+        for name in (words & bodies.keys()) - needed:
             needed.add(name)
-            todo.append(CTES[name])
-    parts = [f"{name} AS MATERIALIZED (\n{body}\n)" for name, body in CTES.items() if name in needed]
+            todo.append(bodies[name])
+    parts = [f"{name} AS MATERIALIZED (\n{body}\n)" for name, body in bodies.items() if name in needed]
     return (f"WITH {', '.join(parts)}\n" if parts else "") + sql.strip()
 
 
@@ -714,5 +718,85 @@ STATEMENTS: dict[str, str] = {
 }
 
 
+# Models with fixed coefficients, centres and cuts ---------------------------------------
+
+cte(
+    "logit",
+    """SELECT r.cid, max(target) AS target, max(cidx) AS cidx,
+              1 / (1 + exp(-(sum(coalesce(val, 0) * (fidx % 7 - 3) / 10.0::DOUBLE) - 0.05::DOUBLE)))
+                  AS prob,
+              sum(val * val) AS squares, sum(val) AS total
+       FROM train_rows r JOIN dict d ON r.name = d.name JOIN cdict c ON r.cid = c.cid
+       GROUP BY r.cid""",
+)
+cte("totals_of", "SELECT DISTINCT name FROM f_totals")
+cte(
+    "totals_wide",
+    f"""SELECT cid, CAST('0x' || substr(md5(cid || ':{SEED}:cluster'), 1, 6) AS BIGINT) % 3 AS cluster,
+               max(CASE WHEN name = 'total_stores' THEN val ELSE 0 END) AS stores,
+               max(CASE WHEN name = 'total_transactions' THEN val ELSE 0 END) AS trx,
+               max(CASE WHEN name = 'months_since_last_trx' THEN val ELSE 0 END) AS months,
+               sqrt(sum(val * val)) AS from_zero,
+               sqrt(sum((val - 1) * (val - 1)) + (SELECT count(*) FROM totals_of) - count(*))
+                   AS from_one
+        FROM f_totals GROUP BY cid""",
+)
+IN_HALF = f"CAST('0x' || substr(md5(a.cid || ':{SEED}:half'), 1, 8) AS BIGINT) < 2147483648"
+cte(
+    "scale_half",
+    f"""SELECT f.name, min(val) AS lo, max(val) AS hi
+        FROM feat f JOIN allc a ON f.cid = a.cid
+        WHERE {like_any("f.name", SCALED_PATTERNS)} AND {IN_HALF}
+        GROUP BY f.name HAVING stddev_pop(val) <> 0""",
+)
+
+STATEMENTS |= {
+    "score_fixed": """
+        SELECT cid AS customer_id, cidx AS customer_idx, round(prob, 6) AS "prob_typeB",
+               CASE WHEN prob > 0.5 THEN 1 ELSE 0 END AS prediction FROM logit""",
+    "test_predictions_fixed": f"""
+        SELECT cidx AS customer_idx, CAST(target AS BIGINT) AS target, round(prob, 6) AS "prob_typeB",
+               CAST(CASE WHEN prob > 0.5 THEN 1 ELSE 0 END AS BIGINT) AS prediction,
+               'CL' AS country_id, 'gbt' AS model, CAST(200101 AS BIGINT) AS period
+        FROM logit
+        WHERE CAST('0x' || substr(md5(cid || ':{SEED}:split'), 1, 8) AS BIGINT)
+              >= CAST(floor(0.7 * 4294967296) AS BIGINT)""",
+    "coefficients_fixed": """
+        SELECT 'CL' AS country_id, 'gbt' AS model, fidx AS feature_idx,
+               (fidx % 7 - 3) / 10.0::DOUBLE AS coef, name AS feature_name FROM dict""",
+    "score_l1_fixed": """
+        SELECT cid AS customer_id, cidx AS customer_idx, CAST(nearer AS BIGINT) AS cluster_id,
+               CASE WHEN nearer = 1 THEN 'typeB_B' ELSE 'typeB_A' END AS necessity_lvl_1
+        FROM (SELECT *, CASE WHEN 0.0625::DOUBLE * (SELECT count(*) FROM dict) < 0.5::DOUBLE * total
+                             THEN 1 ELSE 0 END AS nearer FROM logit)""",
+    "cluster_summary_fixed": """
+        SELECT CAST(cluster AS INT) AS cluster, count(*) AS customers,
+               round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM totals_wide), 4) AS percentage,
+               round(avg(least(from_zero, from_one)), 4) AS distance_mean,
+               round(stddev_samp(least(from_zero, from_one)), 4) AS distance_std,
+               round(avg(stores), 4) AS total_stores_mean,
+               round(stddev_samp(stores), 4) AS total_stores_std,
+               round(avg(trx), 4) AS total_transactions_mean,
+               round(stddev_samp(trx), 4) AS total_transactions_std
+        FROM totals_wide GROUP BY cluster""",
+    "surrogate_tree_fixed": """
+        SELECT cid AS customer_id, CASE WHEN stores > 3 THEN 2 WHEN months <= 6 THEN 0 ELSE 1 END
+               AS cluster FROM totals_wide""",
+    "std_apply_subset": """
+        SELECT c.cid AS customer_id, c.name AS feature_name,
+               round(CASE WHEN s.name IS NULL THEN val ELSE (val - lo) / (hi - lo) END, 6)
+                   AS feature_value
+        FROM chosen c LEFT JOIN scale_half s ON c.name = s.name""",
+}
+
+# What another invoice cohort changes.
+LISTED = ("all_features", "training_set", "profile_rules", "fctr_data")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: with_ctes(sql) for name, sql in STATEMENTS.items()}
+    derived = {name: with_ctes(sql) for name, sql in STATEMENTS.items()}
+    listed = {"fctr": CTES["fctr_list"]}
+    given = {f"{name}_listed": with_ctes(STATEMENTS[name], listed) for name in LISTED}
+    return derived | given | {
+        "all_customers_listed": with_ctes(STATEMENTS["publish_results"], listed)
+    }

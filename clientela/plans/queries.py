@@ -535,6 +535,147 @@ def score_profile(spark: SparkSession, folder: str) -> DataFrame:
     return mp.score_customers(base, model, cfg)
 
 
+# Fixed coefficients, centres and cuts stand in for fitted ones, so that another engine can
+# follow what scoring, assigning and the tree do with them.
+
+
+def _fixed_logistic(spark: SparkSession, folder: str):
+    data = _training(spark, folder)[1]
+    train, test, width = mp.split_vectors(data, CFG)
+    weights = [(i % 7 - 3) / 10 for i in range(width)]
+    return data, train, test, mo.logistic_of(spark, weights, -0.05)
+
+
+@query
+def score_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    _, train, test, model = _fixed_logistic(spark, folder)
+    scored = mo.score(model, train.unionByName(test), CFG)
+    rounded = F.round("prob_typeB", 6)
+    return scored.select("customer_id", "customer_idx", rounded.alias("prob_typeB"), "prediction")
+
+
+@query
+def test_predictions_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    _, _, test, model = _fixed_logistic(spark, folder)
+    told = mo.test_predictions(model, test, CFG, AT)
+    return _rounded(told.drop("classification_dttm"), 6, "prob_typeB")
+
+
+@query
+def coefficients_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    data, _, _, model = _fixed_logistic(spark, folder)
+    return mo.coefficients(model, data.dictionary, CFG, AT).drop("creation_dttm")
+
+
+@query
+def score_l1_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    data = _training(spark, folder)[1]
+    train, test, width = mp.split_vectors(data, CFG)
+    centres = [[0.0] * width, [0.25] * width]
+    scored = mo.score_level_1(
+        mo.clusters_of(spark, centres), train.unionByName(test), CFG, AT
+    )
+    return scored.select("customer_id", "customer_idx", "cluster_id", "necessity_lvl_1")
+
+
+def _totals_vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
+    """Vectors of the features that come from the totals, unscaled."""
+    _, base = _base(spark, folder, "from_totals")
+    dictionary = materialise(ds.feature_dictionary(base.features), "totals_dictionary")
+    names = [row.feature_name for row in dictionary.orderBy("feature_idx").collect()]
+    long = base.features.join(dictionary, "feature_name")
+    return materialise(ds.feature_vectors(long, len(names)), "totals_vectors"), names
+
+
+@query
+def cluster_summary_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    vectors, names = _totals_vectors(spark, folder)
+    digits = F.substring(fc.stable_hash(F.col("customer_id"), CFG.seed, "cluster"), 1, 6)
+    clustered = vectors.withColumn("prediction", (F.conv(digits, 16, 10).cast("long") % 3).cast("int"))
+    centres = [[0.0] * len(names), [1.0] * len(names)]
+    told = mo.cluster_summary(clustered, centres, names)
+    kept = ["distance", "total_stores", "total_transactions"]
+    measures = [f"{name}_{kind}" for name in kept for kind in ("mean", "std")]
+    return _rounded(told.select("cluster", "customers", "percentage", *measures), 4,
+                    "percentage", *measures)
+
+
+@query
+def surrogate_tree_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    """A tree of depth 2 has to find clusters that two cuts make."""
+    vectors, names = _totals_vectors(spark, folder)
+    values = vector_to_array("features")
+    stores, months = names.index("total_stores"), names.index("months_since_last_trx")
+    few = values[stores] <= 3
+    cluster = F.when(few & (values[months] <= 6), 0).when(few, 1).otherwise(2)
+    clustered = materialise(vectors.withColumn("cluster", cluster), "cut_clusters")
+    tree = mo.fit_surrogate_tree(clustered, CFG)
+    told = tree.transform(clustered)
+    return told.select("customer_id", F.col("prediction").cast("int").alias("cluster"))
+
+
+@query
+def std_apply_subset(spark: SparkSession, folder: str) -> DataFrame:
+    """Fitted on some customers, saved, and applied to all as scoring does."""
+    _, base = _base(spark, folder)
+    half = base.customers.filter(fc.hash_below(F.col("customer_id"), CFG.seed, "half", 0.5))
+    _, fitted = fs.feature_set(
+        base.features, base.customers, CFG.profile_set, CFG.period, fit_customers=half
+    )
+    saved = sinks.publish_parquet(fitted, scratch_path(spark, "standardizer"))
+    scaled, _ = fs.feature_set(
+        base.features, base.customers, CFG.profile_set, CFG.period, parameters=saved
+    )
+    return _rounded(scaled, 6, "feature_value")
+
+
+# With a company list ---------------------------------------------------------------------
+
+
+def _listed_base(spark: SparkSession, folder: str) -> tuple[Sources, mp.Base]:
+    src = tpch_sources(spark, folder, with_companies=True)
+    return src, mp.build_base(src, CFG)
+
+
+@query
+def all_customers_listed(spark: SparkSession, folder: str) -> DataFrame:
+    return co.all_customers(_cohorts(tpch_sources(spark, folder, with_companies=True)))
+
+
+@query
+def fctr_data_listed(spark: SparkSession, folder: str) -> DataFrame:
+    src = tpch_sources(spark, folder, with_companies=True)
+    return _doubles(
+        co.invoice_totals(_cohorts(src), src, CFG),
+        "total_sales_amt",
+        "total_sales_amt_fctr",
+        "total_units_cnt",
+        "total_units_cnt_fctr",
+    )
+
+
+@query
+def all_features_listed(spark: SparkSession, folder: str) -> DataFrame:
+    return _listed_base(spark, folder)[1].features
+
+
+@query
+def training_set_listed(spark: SparkSession, folder: str) -> DataFrame:
+    src, base = _listed_base(spark, folder)
+    data = mp.training_data(base, src, CFG)
+    return ds.training_set(data.long, data.dictionary, data.customer_index)
+
+
+@query
+def profile_rules_listed(spark: SparkSession, folder: str) -> DataFrame:
+    src, base = _listed_base(spark, folder)
+    return (
+        _profile(src, base)
+        .groupBy("company_profile", "model")
+        .agg(F.count(F.lit(1)).alias("customers"), F.count("prob_typeB").alias("scored"))
+    )
+
+
 def _need_data(spark: SparkSession, folder: str) -> tuple[mp.Base, DataFrame, mp.NeedData]:
     base, profile = _needs(spark, folder)
     customers = materialise(co.profile_subset(profile), "need_customers")
