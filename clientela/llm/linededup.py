@@ -239,16 +239,15 @@ def without_lines(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                None if text is None else "\n".join(kept_lines(text, keep)[1])
-                for text, keep in zip(
-                    batch["text"].to_pylist(), batch[name].to_pylist(), strict=True
-                )
-            ]
             out = list(batch.columns[: len(columns)])
-            out[batch.schema.get_field_index("text")] = pa.array(texts, pa.string())
+            at = batch.schema.get_field_index("text")
+            keeps = batch[name].to_pylist()
+            if any(keep is not None for keep in keeps):
+                texts = [
+                    text if keep is None else "\n".join(kept_lines(text, keep)[1])
+                    for text, keep in zip(batch["text"].to_pylist(), keeps, strict=True)
+                ]
+                out[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(out, columns)
 
-    marked = with_bitmaps(docs, bitmaps, name)
-    touched = marked.filter(F.col(name).isNotNull()).mapInArrow(run, docs.schema)
-    return marked.filter(F.col(name).isNull()).drop(name).unionByName(touched)
+    return with_bitmaps(docs, bitmaps, name).mapInArrow(run, docs.schema)
