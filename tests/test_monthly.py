@@ -24,3 +24,15 @@ def test_month_from_sales_to_final_table(spark, testdata, tmp_path):
     # Scoring alone uses what the training left, and publishes the same table again.
     again = run_month(src, cfg, folder, AT, train=False, train_needs=False)
     assert sorted(map(tuple, again.collect()), key=str) == first
+
+
+def test_month_with_a_company_list(spark, testdata, tmp_path):
+    """The default input of a run: an invoice cohort that is given, not derived."""
+    cfg = replace(
+        TPCH_RUN, model="logreg", logreg_iterations=20, cluster_iterations=20, cluster_restarts=1,
+        percentile=0,
+    )
+    src = tpch_sources(spark, testdata, with_companies=True)
+    fallback = {"total_sales_amt": 600000.0, "per_trx_frec_N0": 0.6, "months_since_last_trx": 6.0}
+    final = run_month(src, cfg, str(tmp_path), AT, fallback_thresholds=fallback)
+    assert final.count() > 0

@@ -1,27 +1,16 @@
-"""Query results against DuckDB. All queries with CLIENTELA_ALL_QUERIES=1, else a choice."""
+"""Results of all queries of the segmentation against DuckDB."""
 
 from __future__ import annotations
 
 import importlib
-import os
 
 import pytest
 
+from clientela.plans import check_sql
+
 duckdb = pytest.importorskip("duckdb")
 entry = importlib.import_module("__spark_entry__")
 
-QUICK = (
-    "all_features",
-    "canonical_customer",
-    "cohort_blta",
-    "cohort_fctr_list",
-    "final_results",
-    "ntile_filter",
-    "rule_l2a_sii",
-    "std_inverse",
-    "train_test_split",
-)
-ALL = os.environ.get("CLIENTELA_ALL_QUERIES") == "1"
 TABLES = ("customer", "lineitem", "orders", "part")
 
 
@@ -29,12 +18,12 @@ def comparable(rows):
     return sorted((tuple(r) for r in rows), key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()) if ALL else QUICK)
+@pytest.mark.parametrize("name", sorted(check_sql.oracle_sql()))
 def test_query(spark, testdata, name):
     connection = duckdb.connect()
     for table in TABLES:
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{testdata}/{table}.parquet'")
-    cursor = connection.execute(entry.oracle_sql()[name])
+    cursor = connection.execute(check_sql.oracle_sql()[name])
     columns = [c[0] for c in cursor.description]
     expected = cursor.fetchall()
     df = entry.queries()[name](spark, testdata)
