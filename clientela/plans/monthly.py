@@ -10,7 +10,8 @@ from pyspark.ml.classification import (
     GBTClassificationModel,
     LogisticRegressionModel,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.clustering import KMeansModel
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clientela.config import TYPE_B, RunConfig
 from clientela.functions.storage import materialise
@@ -20,11 +21,17 @@ from clientela.operators import features as fe
 from clientela.operators import featureset as fs
 from clientela.operators import models as mo
 from clientela.operators import rules as ru
-from clientela.sources.sinks import load_model, publish_parquet, save_model
+from clientela.sources.sinks import (
+    COMPLETE,
+    latest_version,
+    mark_complete,
+    publish_parquet,
+    version_path,
+)
 from clientela.sources.tables import Sources
 
-CLASSIFIER = "profile_classifier"
-NEED_TREE = "need_tree"
+# Folders of the versions of each kind of model.
+PROFILE_MODEL, NEED_MODEL, LEVEL_1_MODEL = "profile_model", "need_model", "level_1_model"
 
 
 @dataclass(frozen=True)
@@ -213,9 +220,111 @@ def need_results(
     return ru.override_needs(needs, profile)
 
 
-def _saved_classifier(spark, folder: str, cfg: RunConfig):
+@dataclass(frozen=True)
+class Level1Model:
+    """Two clusters of the typeB customers over the profile features, and what they read."""
+
+    clusters: KMeansModel
+    dictionary: DataFrame
+    width: int
+    standardizer: DataFrame | None
+
+
+def _level_1_vectors(
+    base: Base, customers: DataFrame, model: Level1Model | None, cfg: RunConfig
+) -> tuple[DataFrame, DataFrame, int, DataFrame | None]:
+    chosen, standardizer = fs.feature_set(
+        base.features,
+        customers,
+        cfg.profile_set,
+        cfg.period,
+        parameters=None if model is None else model.standardizer,
+    )
+    chosen = materialise(chosen, "level_1_set")
+    dictionary = (
+        materialise(ds.feature_dictionary(chosen), "level_1_dictionary")
+        if model is None
+        else model.dictionary
+    )
+    width = dictionary.count() if model is None else model.width
+    scoring = ds.need_scoring_set(customers, chosen, dictionary)
+    vectors = materialise(ds.feature_vectors(scoring, width, "customer_idx"), "level_1_vectors")
+    return vectors, dictionary, width, standardizer
+
+
+def train_level_1(base: Base, customers: DataFrame, cfg: RunConfig) -> Level1Model:
+    vectors, dictionary, width, standardizer = _level_1_vectors(base, customers, None, cfg)
+    return Level1Model(mo.fit_clusters(vectors, 2, cfg), dictionary, width, standardizer)
+
+
+def score_level_1(
+    base: Base, customers: DataFrame, model: Level1Model, cfg: RunConfig, at: str
+) -> DataFrame:
+    """Cluster and segment of all given customers; those without features get the fallback."""
+    vectors = _level_1_vectors(base, customers, model, cfg)[0]
+    return mo.fill_level_1(mo.score_level_1(model.clusters, vectors, cfg, at), customers, cfg, at)
+
+
+def save_level_1(model: Level1Model, version: str) -> None:
+    model.clusters.write().overwrite().save(f"{version}/clusters")
+    publish_parquet(model.dictionary, f"{version}/dictionary")
+    if model.standardizer is not None:
+        publish_parquet(model.standardizer, f"{version}/standardizer")
+    mark_complete(model.dictionary.sparkSession, version)
+
+
+def load_level_1(spark: SparkSession, version: str, cfg: RunConfig) -> Level1Model:
+    dictionary = spark.read.parquet(f"{version}/dictionary")
+    return Level1Model(
+        KMeansModel.load(f"{version}/clusters"),
+        dictionary,
+        dictionary.count(),
+        _standardizer(spark, version, cfg),
+    )
+
+
+def _standardizer(spark: SparkSession, version: str, cfg: RunConfig) -> DataFrame | None:
+    return spark.read.parquet(f"{version}/standardizer") if cfg.profile_set.standardize else None
+
+
+def save_profile(model: ProfileModel, version: str) -> None:
+    """All of a training in one folder: scoring never mixes two trainings."""
+    model.classifier.write().overwrite().save(f"{version}/classifier")
+    publish_parquet(model.dictionary, f"{version}/dictionary")
+    publish_parquet(model.coefficients, f"{version}/coefficients")
+    publish_parquet(model.test_predictions, f"{version}/test_predictions")
+    publish_parquet(model.metrics, f"{version}/metrics")
+    if model.standardizer is not None:
+        publish_parquet(model.standardizer, f"{version}/standardizer")
+    mark_complete(model.dictionary.sparkSession, version)
+
+
+def load_profile(spark: SparkSession, version: str, cfg: RunConfig) -> ProfileModel:
     kind = LogisticRegressionModel if cfg.model == mo.LOGISTIC else GBTClassificationModel
-    return load_model(spark, kind.read(), f"{folder}/{CLASSIFIER}")
+    dictionary = spark.read.parquet(f"{version}/dictionary")
+    return ProfileModel(
+        classifier=kind.load(f"{version}/classifier"),
+        dictionary=dictionary,
+        width=dictionary.count(),
+        standardizer=_standardizer(spark, version, cfg),
+        coefficients=spark.read.parquet(f"{version}/coefficients"),
+        test_predictions=spark.read.parquet(f"{version}/test_predictions"),
+        metrics=spark.read.parquet(f"{version}/metrics"),
+    )
+
+
+def save_need(
+    spark: SparkSession, need: NeedModel, thresholds: ru.NeedThresholds, version: str
+) -> None:
+    need.clusters.write().overwrite().save(f"{version}/clusters")
+    need.tree.write().overwrite().save(f"{version}/tree")
+    row = [tuple(vars(thresholds).values())]
+    publish_parquet(spark.createDataFrame(row, list(vars(thresholds))), f"{version}/thresholds")
+    mark_complete(spark, version)
+
+
+def load_thresholds(spark: SparkSession, version: str) -> ru.NeedThresholds:
+    return ru.NeedThresholds(**spark.read.parquet(f"{version}/thresholds").first().asDict())
 
 
 def run_month(
@@ -226,11 +335,12 @@ def run_month(
     train: bool = True,
     train_needs: bool = True,
     fallback_thresholds: Mapping[str, float] | None = None,
+    version: str | None = None,
 ) -> DataFrame:
     """One month from sales to the final table, published under ``folder``.
 
-    With ``train`` off the models, dictionary, coefficients, standardizer and
-    thresholds of the latest training in the same folder are used.
+    A training writes its own version, stamped ``at``. With ``train`` off the models of the
+    training at ``version`` are used (of the latest finished one by default).
     ``fallback_thresholds`` serve features the surrogate tree has no split on;
     without them such a tree is an error.
     """
@@ -238,46 +348,27 @@ def run_month(
     home = f"{folder}/{cfg.country}"
     base = build_base(src, cfg)
 
-    def saved(name: str) -> str:
-        return f"{home}/{name}"
+    def chosen(kind: str) -> str:
+        if version is not None:
+            return version_path(f"{home}/{kind}", version)
+        return latest_version(spark, f"{home}/{kind}", COMPLETE)
 
     if train:
         model = train_profile(base, src, cfg, at)
-        save_model(model.classifier, saved(CLASSIFIER))
-        publish_parquet(model.dictionary, saved("dictionary"))
-        publish_parquet(model.coefficients, saved("coefficients"))
-        publish_parquet(model.test_predictions, saved("test_predictions"))
-        publish_parquet(model.metrics, saved("metrics"))
-        if model.standardizer is not None:
-            publish_parquet(model.standardizer, saved("standardizer"))
+        save_profile(model, version_path(f"{home}/{PROFILE_MODEL}", at))
     else:
-        dictionary = spark.read.parquet(saved("dictionary"))
-        model = ProfileModel(
-            classifier=_saved_classifier(spark, home, cfg),
-            dictionary=dictionary,
-            width=dictionary.count(),
-            standardizer=(
-                spark.read.parquet(saved("standardizer")) if cfg.profile_set.standardize else None
-            ),
-            coefficients=spark.read.parquet(saved("coefficients")),
-            test_predictions=spark.read.parquet(saved("test_predictions")),
-            metrics=spark.read.parquet(saved("metrics")),
-        )
+        model = load_profile(spark, chosen(PROFILE_MODEL), cfg)
     scored = materialise(score_customers(base, model, cfg), "scored")
     profile = publish_parquet(
-        profile_results(base, scored, src, cfg, at), saved(f"profile_{cfg.period}")
+        profile_results(base, scored, src, cfg, at), f"{home}/profile_{cfg.period}"
     )
     if train_needs:
         need = train_need(base, co.profile_subset(profile, TYPE_B), cfg)
-        save_model(need.tree, saved(NEED_TREE))
         thresholds = ru.NeedThresholds.from_tree(need.splits, fallback_thresholds)
-        row = [tuple(vars(thresholds).values())]
-        publish_parquet(
-            spark.createDataFrame(row, list(vars(thresholds))), saved("thresholds")
-        )
+        save_need(spark, need, thresholds, version_path(f"{home}/{NEED_MODEL}", at))
     else:
-        thresholds = ru.NeedThresholds(**spark.read.parquet(saved("thresholds")).first().asDict())
+        thresholds = load_thresholds(spark, chosen(NEED_MODEL))
     needs = publish_parquet(
-        need_results(base, profile, thresholds, cfg, at), saved(f"needs_{cfg.period}")
+        need_results(base, profile, thresholds, cfg, at), f"{home}/needs_{cfg.period}"
     )
-    return publish_parquet(co.final_results(profile, needs), saved(f"final_{cfg.period}"))
+    return publish_parquet(co.final_results(profile, needs), f"{home}/final_{cfg.period}")

@@ -706,30 +706,25 @@ def cluster_summary(spark: SparkSession, folder: str) -> DataFrame:
     return mo.cluster_summary(clustered, fitted.clusterCenters(), data.names)
 
 
-def _level_1(spark: SparkSession, folder: str):
-    """Vectors of the typeB customers over the profile features, and two clusters."""
+def _level_1(spark: SparkSession, folder: str) -> tuple[mp.Base, DataFrame, mp.Level1Model]:
+    """The typeB customers and two clusters of them over the profile features."""
     src, base = _base(spark, folder)
     profile = materialise(_profile(src, base), "profile")
     customers = materialise(co.profile_subset(profile).distinct(), "level_1_customers")
-    chosen, _ = fs.feature_set(base.features, customers, CFG.profile_set, CFG.period)
-    chosen = materialise(chosen, "level_1_set")
-    dictionary = materialise(ds.feature_dictionary(chosen), "level_1_dictionary")
-    scoring = ds.need_scoring_set(customers, chosen, dictionary)
-    vectors = ds.feature_vectors(scoring, dictionary.count(), "customer_idx")
-    vectors = materialise(vectors, "level_1_vectors")
-    return customers, vectors, mo.fit_clusters(vectors, 2, CFG)
+    return base, customers, mp.train_level_1(base, customers, CFG)
 
 
 @query
 def kmeans_l1(spark: SparkSession, folder: str) -> DataFrame:
-    _, vectors, fitted = _level_1(spark, folder)
-    return fitted.transform(vectors).select("customer_id", F.col("prediction").alias("cluster"))
+    base, customers, model = _level_1(spark, folder)
+    told = mp.score_level_1(base, customers, model, CFG, AT).filter("customer_idx >= 0")
+    return told.select("customer_id", F.col("cluster_id").cast("int").alias("cluster"))
 
 
 @query
 def score_l1(spark: SparkSession, folder: str) -> DataFrame:
-    customers, vectors, fitted = _level_1(spark, folder)
-    return mo.fill_level_1(mo.score_level_1(fitted, vectors, CFG, AT), customers, CFG, AT)
+    base, customers, model = _level_1(spark, folder)
+    return mp.score_level_1(base, customers, model, CFG, AT)
 
 
 @query

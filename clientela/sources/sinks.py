@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -50,13 +51,26 @@ def save_model(model: MLWritable, base: str, day: date | None = None) -> str:
     return path
 
 
-def latest_version(spark: SparkSession, base: str) -> str:
-    """Path of the newest saved version, found through Spark's file listing."""
+COMPLETE = "complete"
+
+
+def version_path(base: str, stamp: str) -> str:
+    """Folder of the version of a moment such as 2020-01-03 06:00:00."""
+    return f"{base}/{VERSION_PREFIX}{re.sub(r'[^0-9]', '', stamp)}"
+
+
+def mark_complete(spark: SparkSession, version: str) -> None:
+    """Written last: a version without the mark was not finished and is never loaded."""
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{version}/{COMPLETE}")
+
+
+def latest_version(spark: SparkSession, base: str, part: str = "") -> str:
+    """Path of the newest saved version (that has ``part``), by Spark's file listing."""
     try:
         files = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
-            .load(f"{base}/{VERSION_PREFIX}*")
+            .load(f"{base}/{VERSION_PREFIX}*/{part}".rstrip("/"))
             .select(F.regexp_extract("_metadata.file_path", rf"{VERSION_PREFIX}(\d+)/", 1).alias("v"))
         )
         newest = files.agg(F.max("v")).first()[0]
