@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Mapping, Sequence
@@ -173,20 +174,16 @@ def clusters_of(spark: SparkSession, centres: Sequence[Sequence[float]]) -> KMea
         jvm.org.apache.spark.mllib.linalg.Vector, len(centres)
     )
     for k, centre in enumerate(centres):
-        point = jvm.org.apache.spark.mllib.linalg.Vectors.dense
-        points[k] = point(_doubles(spark, centre))
+        points[k] = _jvm_vector(spark, centre)
     parent = jvm.org.apache.spark.mllib.clustering.KMeansModel(points)
     uid = f"kmeans_{uuid.uuid4().hex[:12]}"
     return KMeansModel(jvm.org.apache.spark.ml.clustering.KMeansModel(uid, parent))
 
 
-def _doubles(spark: SparkSession, values: Sequence[float]):
-    array = spark.sparkContext._gateway.new_array(
-        spark.sparkContext._jvm.double, len(values)
-    )
-    for k, value in enumerate(values):
-        array[k] = float(value)
-    return array
+def _jvm_vector(spark: SparkSession, values: Sequence[float]):
+    """A dense vector of Spark, sent in one call however wide it is."""
+    text = json.dumps({"type": 1, "values": [float(x) for x in values]})
+    return spark.sparkContext._jvm.org.apache.spark.mllib.linalg.Vectors.fromJson(text)
 
 
 def logistic_of(
@@ -194,7 +191,7 @@ def logistic_of(
 ) -> LogisticRegressionModel:
     """A logistic model with given coefficients."""
     jvm = spark.sparkContext._jvm
-    weights = jvm.org.apache.spark.ml.linalg.Vectors.dense(_doubles(spark, coefficients))
+    weights = _jvm_vector(spark, coefficients).asML()
     uid = f"logreg_{uuid.uuid4().hex[:12]}"
     made = jvm.org.apache.spark.ml.classification.LogisticRegressionModel
     return LogisticRegressionModel(made(uid, weights, float(intercept)))

@@ -170,3 +170,31 @@ def test_csv_and_tables(spark, tmp_path):
     sinks.append_table(df, "published")
     assert spark.table("published").count() == 4
     spark.sql("DROP TABLE published")
+
+
+def test_given_centres_assign_wide_sparse_vectors(spark):
+    """5,000 features: the centres are a model, not literals in a plan."""
+    width = 5000
+    rows = [(str(k), (k * 37) % width, 1.0 + k % 2, 0, k) for k in range(200)]
+    vectors = ds.feature_vectors(spark.createDataFrame(rows, LONG), width)
+    model = mo.clusters_of(spark, [[0.0] * width, [0.0002] * width])
+    found = {r.customer_id: r.prediction for r in model.transform(vectors).collect()}
+    for name, idx, value, *_ in rows:
+        zero = value**2
+        other = (value - 0.0002) ** 2 + (width - 1) * 0.0002**2
+        assert found[name] == int(other < zero)
+
+
+def test_given_coefficients_score(spark):
+    rows = [("a", 0, 2.0, 1, 0), ("b", 1, 1.0, 0, 1)]
+    vectors = ds.feature_vectors(spark.createDataFrame(rows, LONG), 2, "target")
+    told = mo.score(mo.logistic_of(spark, [1.0, -1.0], 0.5), vectors, CFG).collect()
+    got = {r.customer_id: (round(r.prob_typeB, 6), r.prediction) for r in told}
+    assert got == {"a": (0.924142, 1), "b": (0.377541, 0)}
+
+
+def test_a_missing_class_is_named(spark):
+    rows = [(str(k), 0, 1.0, 1, k) for k in range(5)]
+    vectors = ds.feature_vectors(spark.createDataFrame(rows, LONG), 1, "target")
+    with pytest.raises(ValueError, match="class 0"):
+        mo.train_classifier(vectors, CFG)
