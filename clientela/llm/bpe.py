@@ -23,7 +23,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 from math import inf
 
 import ahocorasick
@@ -36,11 +36,33 @@ from clientela.llm.text import slices
 from clientela.llm.words_memo import WordMemo, token_ids
 
 # The pattern and the white space of the tokenizer file, and its word end.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 WORD_END = "</w>"
 
 PAIR_TABLE = 1_000_000
+UNKNOWN_LETTER = "\u00a4"
+# Characters that are letters or numbers to the regex module, but not to the
+# tables of the tokenizer's library; and capitals whose lower case is younger than Python's.
+YOUNG = (
+    (0x0558, 0x0558), (0x058B, 0x058C), (0x088F, 0x088F), (0x0C5C, 0x0C5C), (0x0CDC, 0x0CDC),
+    (0x208F, 0x208F), (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4),
+    (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF),
+    (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A),
+    (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F),
+    (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3),
+    (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20),
+    (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128),
+    (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81),
+    (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2),
+    (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF),
+    (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479),
+    (0x3D000, 0x3FC3F),
+)
+YOUNG_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B}
+YOUNG_LOWER |= {0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5}
+YOUNG_LOWER |= {0x10D50 + k: 0x10D70 + k for k in range(22)}
+YOUNG_LOWER |= {0x16EA0 + k: 0x16EBB + k for k in range(25)}
 
 
 def byte_letters() -> list[str]:
@@ -51,6 +73,11 @@ def byte_letters() -> list[str]:
     return [letter[b] for b in range(256)]
 
 
+@cache
+def _young_letters() -> dict[int, str]:
+    return {c: UNKNOWN_LETTER for low, high in YOUNG for c in range(low, high + 1)}
+
+
 class Bpe:
     """Encoder and decoder of one tokenizer file."""
 
@@ -196,7 +223,13 @@ class Bpe:
         text = unicodedata.normalize("NFC", text)
         # Lower case character by character: no rule for a sigma at the end of a word.
         text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-        return [i for piece in self.piece.findall(text) for i in self._piece_ids(piece)]
+        shown = text
+        if not text.isascii() and not text.isprintable():  # as young characters are to Python
+            text = text.translate(YOUNG_LOWER)
+            shown = text.translate(_young_letters())
+        return [
+            i for m in self.piece.finditer(shown) for i in self._piece_ids(text[m.start() : m.end()])
+        ]
 
     def encode(self, text: str) -> list[int]:
         if self.split_added is None or "<" not in text:

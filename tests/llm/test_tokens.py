@@ -46,6 +46,15 @@ def test_backtracking_is_the_merges(own, library):
         assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_every_kind_of_character(own, library):
+    """All of the first 12,800 characters, and letters that are younger than some tables."""
+    points = [*range(0x3200), 0xA7CB, 0xA7CE, 0xAB6C, 0x107BB, 0x10940, 0x10D50,
+              0x16EA1, 0x18E00, 0x323B0, 0x1D400, 0xFEFF, 0x2FFFF]
+    texts = [f"a!{chr(c)}!b{chr(c)}1" for c in points]
+    found = library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [t for t, e in zip(texts, found, strict=True) if own.encode(t) != e.ids] == []
+
+
 def test_words_together_are_the_texts(own, library):
     encoder = wavelet.LibraryEncoder(PATH)
     texts = [*random_texts(300), *(t[1] or "" for t in tables.ODD)]
