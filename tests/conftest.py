@@ -6,7 +6,12 @@ import sys
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, HERE)
+# For the Python workers, wherever the tests are started.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [HERE, *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+)
 
 TESTDATA = "/root/testdata/sf0.001"
 
