@@ -140,14 +140,13 @@ URL_RULES = (
     urlfilter.Rule("block", "net", "/es/"),
     urlfilter.Rule("block", "net", "/fr/"),
 )
-BLOCKED_HOSTS = (
-    "ads-track.example.com",
-    "adult-x.example.com",
-    "casino-win.example.net",
-    "cheap-pills.example.net",
-    "free-bets.example.net",
-    "spam-farm.example.org",
-)
+# The sites that are blocked, under each domain they are served from. Those under .com count
+# as well: a URL without a path has none of the rules, which all ask for one.
+BLOCKED_SITES = (
+    "ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm",
+)
+SITE_DOMAINS = ("example.com", "example.net", "example.org")
+BLOCKED_HOSTS = tuple(f"{site}.{domain}" for site in BLOCKED_SITES for domain in SITE_DOMAINS)
 
 
 @query

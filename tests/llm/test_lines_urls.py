@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import re
 from collections import defaultdict
 
@@ -129,3 +130,21 @@ def test_no_rules_and_large_lists(spark, tmp_path):
         urlfilter.judge_urls(pages, URL_RULES, max_bytes=10)
     with pytest.raises(ValueError, match="two rules"):
         urlfilter.index_bytes([*URL_RULES, urlfilter.Rule("block", "com", "/")])
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_bad_hosts_of_the_pages_are_blocked(spark, testdata, folder):
+    pages = spark.read.parquet(os.path.join(os.path.dirname(testdata), folder, "pages.parquet"))
+    found = urlfilter.judge_urls(pages, URL_RULES, BLOCKED_HOSTS).filter("rule IS NULL").collect()
+    bad = re.compile(r"(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.")
+    assert found
+    assert [r for r in found if (r.verdict == "block") != bool(bad.search(r.host))] == []
+
+
+def test_bad_hosts_without_a_path(spark):
+    urls = [f"http://{site}.example.{end}" for site in ("m.casino-win", "ads-track", "spam-farm", "good")
+            for end in ("com", "net", "org")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for row in urlfilter.judge_urls(pages, URL_RULES, BLOCKED_HOSTS).collect():
+        assert row.rule is None
+        assert (row.verdict == "block") == (not row.host.startswith("good")), row.host
