@@ -56,6 +56,71 @@ def test_licenses_against_all_windows(spark):
     assert licenses.scan_licenses(tables.documents(spark, []), templates).collect() == []
 
 
+MIT = """
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ * to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+ * copies of the Software, and to permit persons to whom the Software is
+ * furnished to do so, subject to the following conditions:
+ *
+ * The above copyright notice and this permission notice shall be included in
+ * all copies or substantial portions of the Software.
+ *
+ * THE SOFTWARE IS PROVIDED “AS IS”, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+ * IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+ * FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+ * AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+ * LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+ * OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN
+ * THE SOFTWARE.
+ */"""
+APACHE = """
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License."""
+
+
+@pytest.mark.parametrize("before", [0, 3, 50, 101])
+def test_licenses_as_they_are_written(spark, before):
+    texts = {
+        "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0, see the site",
+        "MIT": "(Released under the MIT License)",
+        "Apache-2.0": "Licensed under the Apache License Version 2.0",
+        "GPL-3.0": "This work is licensed under the GNU General Public License version 3;",
+        "MIT-notice": MIT,
+        "Apache-2.0-header": APACHE,
+    }
+    rows = [(k, "word " * before + text + " and more", "en", "a", 1)
+            for k, text in enumerate(texts.values())]
+    rows.append((99, "the license of the software is not known, without warranty", "en", "a", 1))
+    found = defaultdict(set)
+    for row in licenses.scan_licenses(tables.documents(spark, rows)).collect():
+        found[row.doc_id].add(row.license)
+    assert all(name in found[k] for k, name in enumerate(texts)), found
+    assert 99 not in found
+
+
+def test_every_whole_notice_is_found(spark):
+    rows = [(k, f"some words {t.text} more", "en", "a", 1) for k, t in enumerate(licenses.ALL_TEMPLATES)]
+    best = {}
+    for row in licenses.scan_licenses(tables.documents(spark, rows)).collect():
+        if row.containment == 1:
+            best.setdefault(row.doc_id, set()).add(row.license)
+    assert all(t.name in best[k] for k, t in enumerate(licenses.ALL_TEMPLATES))
+    assert {"MIT-notice", "BSD-3-Clause-notice", "ISC-notice", "MPL-2.0-header", "GPL-3.0-header"} <= {
+        t.name for t in licenses.ALL_TEMPLATES
+    }
+
+
 def table_of(spark):
     rng = random.Random(2)
     rows = []
