@@ -3,7 +3,8 @@
 Texts become runs of lower-case letters with one space between; their n-grams of
 one to three characters are hashed into a fixed number of features. Document
 frequencies are counted over all labelled rows. The weights are learned from a
-bounded sample of labelled rows by follow-the-regularised-leader with an
+sample of labelled rows, a bounded number in all and besides a quota of each language
+(all rows of one that has fewer), so every labelled language is learned, by follow-the-regularised-leader with an
 elastic-net penalty, which leaves most of them at zero, and the probabilities are
 calibrated by one temperature on rows of the sample that were not learned from.
 
@@ -17,6 +18,7 @@ prediction looks at the text alone.
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -24,7 +26,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from clientela.llm.text import filled, slices
 
@@ -35,13 +37,14 @@ UNKNOWN = "und"
 class LangConfig:
     features: int = 1 << 15
     sizes: tuple[int, ...] = (1, 2, 3)
-    sample_rows: int = 4_000  # bound on the labelled rows that weights are learned from
+    sample_rows: int = 4_000  # about so many labelled rows are learned from, all languages together,
+    language_rows: int = 200  # but about so many of each language, or all it has, at least
     epochs: int = 3
     alpha: float = 0.5
     beta: float = 1.0
     l1: float = 0.02
     l2: float = 0.01
-    held_for_temperature: int = 5  # every so manieth row of the sample
+    held_for_temperature: int = 5  # every so manieth row of a language in the sample
 
 
 @dataclass(frozen=True)
@@ -175,6 +178,15 @@ def fit(docs: DataFrame, teaches: Column | bool = True, cfg: LangConfig = LangCo
     idf = np.log((1.0 + rows) / (1.0 + frequencies)) + 1.0
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
     share = min(1.0, cfg.sample_rows / max(1, rows))
+    # One row per language.
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("first"))
+    drawn = draw < share
+    for lang, n, first in counts.collect():
+        # The first row of a language is always in it, also if all its rows share one draw.
+        if (own := cfg.language_rows / n) > share or first >= share:
+            drawn = drawn | ((F.col("lang") == lang) & ((draw < own) | (draw <= first)))
+    # Against rows that are repeated without end; far from it otherwise.
+    order = Window.partitionBy("lang").orderBy("place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -190,9 +202,10 @@ def fit(docs: DataFrame, teaches: Column | bool = True, cfg: LangConfig = LangCo
             )
 
     sample = (
-        known.filter(draw < share)
-        .limit(2 * cfg.sample_rows)
+        known.filter(drawn)
         .select(F.xxhash64("doc_id", F.lit(13)).alias("place"), "lang", "text")
+        .withColumn("row", F.row_number().over(order))
+        .filter(F.col("row") <= 2 * cfg.sample_rows)
         .mapInArrow(run, "place long, lang string, found binary, counts binary")
         .toPandas()
         .sort_values(["place", "lang"], kind="stable")
@@ -209,8 +222,13 @@ def _learned(sample, idf: np.ndarray, cfg: LangConfig) -> LangModel:
         if len(at):
             x = _scaled(at, np.frombuffer(counts, "<i4"), idf)
             rows.append((np.append(at, cfg.features), np.append(x, 1.0), number[lang]))
-    held = rows[:: cfg.held_for_temperature] if len(rows) >= 10 * cfg.held_for_temperature else []
-    learned = [row for k, row in enumerate(rows) if not held or k % cfg.held_for_temperature]
+    held, learned, seen = [], [], Counter()
+    for row in rows:
+        # Counted in each language, so that the first rows of a rare one are learned from.
+        seen[row[2]] += 1
+        last = seen[row[2]] % cfg.held_for_temperature == 0
+        wanted = last and len(rows) >= 10 * cfg.held_for_temperature
+        (held if wanted else learned).append(row)
     leader = _Leader(cfg.features, len(names), cfg)
     for _ in range(cfg.epochs):
         for at, x, own in learned:

@@ -34,6 +34,21 @@ def test_language_held_out(spark, labelled):
     assert all(0 <= r.score <= 1 for r in told)
 
 
+def test_rare_languages_are_learned_from_large_tables(spark, labelled):
+    common = spark.range(9_000).select(
+        "id", F.concat_ws(" ", *(F.lit("the and ing of"), (F.col("id") % 97).cast("string"))),
+        F.lit("en"), F.lit("a"), F.lit(1).cast("long"),
+    ).toDF(*labelled.columns)
+    rare = [(20_000 + k, f"zażółć gęślą jaźń źdźbło {k}", "pl", "a", 1) for k in range(2)]
+    rare += [(30_000, f"şöyle böyle ığdır {k}", "tr", "a", 1) for k in range(500)]  # one doc_id
+    docs = common.union(tables.documents(spark, rare))
+    cfg = langid.LangConfig(sample_rows=100, language_rows=20)
+    model = langid.fit(docs, cfg=cfg)
+    assert model.names == ("en", "pl", "tr")
+    told = langid.with_language(docs.filter("doc_id >= 20000"), model).collect()
+    assert all(r.lang_pred == r.lang for r in told)
+
+
 def test_prediction_looks_at_the_text_alone(labelled):
     model = langid.fit(labelled)
     other = labelled.withColumns({"lang": F.lit("xx"), "source": F.lit("s"), "doc_id": F.lit(1)})
