@@ -153,7 +153,7 @@ def _approximate_quartiles(members: DataFrame) -> DataFrame:
 
 
 def outlier_fence(
-    features: DataFrame, customers: DataFrame, rule: OutlierRule, exact: bool = False
+    features: DataFrame, customers: DataFrame, rule: OutlierRule, exact: bool = True
 ) -> DataFrame:
     """Quartiles of the feature over the customer set and the upper fence, in one row."""
     value = F.coalesce("feature_value", F.lit(0.0)).alias("value")
@@ -172,7 +172,7 @@ def below_fence(values: DataFrame, fence: DataFrame) -> DataFrame:
 
 
 def drop_outliers(
-    features: DataFrame, customers: DataFrame, rule: OutlierRule, exact: bool = False
+    features: DataFrame, customers: DataFrame, rule: OutlierRule, exact: bool = True
 ) -> DataFrame:
     """Customers with enough transactions and a feature value below the fence."""
     limit = outlier_fence(features, customers, rule, exact).select("fence").scalar()

@@ -83,3 +83,10 @@ def test_drop_outliers(spark):
     at_fence = spark.createDataFrame([("z", fence.fence)], "customer_id string, feature_value double")
     table = fs.outlier_fence(features, customers, OutlierRule(), exact=True)
     assert fs.below_fence(at_fence, table).count() == 0
+
+
+def test_the_fence_is_exact_by_default(spark):
+    rows = [(str(i), "total_sales_amt", float(i)) for i in range(1, 5)]
+    features = spark.createDataFrame(rows, "customer_id string, feature_name string, feature_value double")
+    fence = fs.outlier_fence(features, features.select("customer_id"), OutlierRule()).first()
+    assert (fence.q25, fence.q75) == (1.75, 3.25)
