@@ -16,9 +16,11 @@ from clientela.llm import (
     langid,
     licenses,
     linededup,
+    merkle,
     mixing,
     neardup,
     quality,
+    trie,
     urlfilter,
     wavelet,
 )
@@ -152,3 +154,37 @@ BLOCKED_HOSTS = tuple(f"{site}.{domain}" for site in BLOCKED_SITES for domain in
 @query
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, folder, "pages"), URL_RULES, BLOCKED_HOSTS)
+
+
+def rebuilt_conversations(conversations: DataFrame) -> DataFrame:
+    """Sequences that begin with the first turns of the conversation their family is named after."""
+    own = materialise(trie.sequences(conversations), "sequences")
+    most = 8
+    heads = own.filter(F.col("conv_id") % 5 == 0).select(
+        F.col("conv_id").alias("head_id"),
+        F.col("key").substr(1, most * trie.TURN).alias("head_key"),
+        F.slice("sizes", 1, most).alias("head_sizes"),
+    )
+    taken = (F.crc32(F.col("conv_id").cast("string")) % (most + 1)).cast("int")
+    width = taken * trie.TURN
+    nothing = F.array().cast("array<bigint>")
+    head_key = F.coalesce(F.col("head_key").substr(F.lit(1), width), F.lit(b""))
+    head_sizes = F.coalesce(F.slice("head_sizes", F.lit(1), taken), nothing)
+    rest = F.col("key").substr(width + 1, F.octet_length("key"))
+    return own.join(heads, F.col("conv_id") - F.col("conv_id") % 5 == F.col("head_id"), "left").select(
+        "conv_id",
+        F.concat(head_key, rest).alias("key"),
+        F.concat(head_sizes, F.slice("sizes", taken + 1, F.size("sizes"))).alias("sizes"),
+    )
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    rebuilt = rebuilt_conversations(table(spark, folder, "conversations"))
+    return trie.trie(materialise(rebuilt, "rebuilt"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    changed = merkle.tampered(F.col("doc_id"), F.col("n_chars"))
+    return merkle.proofs(table(spark, folder, "documents"), changed)

@@ -9,6 +9,15 @@ from clientela.llm.urlfilter import UPPER
 
 ORACLES: dict[str, str] = {}
 
+
+def crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, null for null: a step per byte, and one per bit of it."""
+    return f"""xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+        string_split({text}, ''),
+        lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda a, b: CASE WHEN b >= 0 THEN xor(a, b)
+                          ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295)"""
+
 LOWER = f"'{UPPER}', '{UPPER.lower()}'"
 SPACE = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
 
@@ -206,8 +215,139 @@ def _mixture() -> str:
     """
 
 
+def _merkle() -> str:
+    def row(n_chars: str) -> str:
+        fields = ("doc_id", "source", "lang", n_chars, "text")
+        parts = [
+            f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')"
+            for f in fields
+        ]
+        return f"sha256({' || '.join(parts)})"
+
+    return f"""
+    WITH RECURSIVE leaves AS (
+        SELECT doc_id, lang, {row("n_chars")} AS leaf,
+               CASE WHEN crc % 7 = 0 THEN {row("(n_chars + 1)")} ELSE {row("n_chars")} END AS seen
+        FROM (SELECT *, {crc32('CAST(doc_id AS VARCHAR)')} AS crc FROM documents)
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY lang
+                                     ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+        FROM leaves
+    ), nodes(lang, level, place, node, size) AS (
+        SELECT lang, 0, place, leaf, count(*) OVER (PARTITION BY lang) FROM placed
+        UNION ALL
+        SELECT lang, level + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)),
+               (any_value(size) + 1) // 2
+        FROM nodes WHERE size > 1 GROUP BY lang, level, place // 2
+    ), subroots AS (
+        SELECT lang, level AS height, node AS subroot,
+               row_number() OVER (ORDER BY lang COLLATE C NULLS FIRST) - 1 AS tree,
+               count(*) OVER () AS trees
+        FROM nodes WHERE size = 1
+    ), tops(level, place, node, size) AS (
+        SELECT 0, tree, subroot, trees FROM subroots
+        UNION ALL
+        SELECT level + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)),
+               (any_value(size) + 1) // 2
+        FROM tops WHERE size > 1 GROUP BY level, place // 2
+    ), root AS (
+        SELECT level AS top_height, node AS root FROM tops WHERE size = 1
+    ), walk(lang, start, level, place, tree, folded, proof) AS (
+        SELECT p.lang, p.place, 0, p.place, s.tree, p.seen, ''
+        FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+        UNION ALL
+        SELECT w.lang, w.start, w.level + 1, w.place // 2, w.tree,
+               sha256(CASE WHEN w.place % 2 = 1 THEN n.node ELSE '' END || w.folded
+                      || CASE WHEN w.place % 2 = 0 THEN coalesce(n.node, '') ELSE '' END),
+               w.proof || coalesce(n.node, '')
+        FROM walk w JOIN subroots s ON w.lang IS NOT DISTINCT FROM s.lang AND w.level < s.height
+        LEFT JOIN nodes n ON n.lang IS NOT DISTINCT FROM w.lang AND n.level = w.level
+                         AND n.place = xor(w.place, 1)
+    ), climb(lang, start, level, place, folded, proof) AS (
+        SELECT w.lang, w.start, 0, w.tree, w.folded, w.proof
+        FROM walk w JOIN subroots s ON w.lang IS NOT DISTINCT FROM s.lang AND w.level = s.height
+        UNION ALL
+        SELECT c.lang, c.start, c.level + 1, c.place // 2,
+               sha256(CASE WHEN c.place % 2 = 1 THEN t.node ELSE '' END || c.folded
+                      || CASE WHEN c.place % 2 = 0 THEN coalesce(t.node, '') ELSE '' END),
+               c.proof || coalesce(t.node, '')
+        FROM climb c JOIN root r ON c.level < r.top_height
+        LEFT JOIN tops t ON t.level = c.level AND t.place = xor(c.place, 1)
+    )
+    SELECT p.doc_id, p.leaf, s.subroot, r.root, sha256(c.proof) AS proof_sha256,
+           c.folded AS folded_root, c.folded = r.root AS verified
+    FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+    JOIN root r ON true
+    JOIN climb c ON c.lang IS NOT DISTINCT FROM p.lang AND c.start = p.place
+                AND c.level = r.top_height
+    """
+
+
+def _conversation_trie() -> str:
+    head = f"CAST({crc32('CAST(conv_id AS VARCHAR)')} % 9 AS BIGINT)"
+    return f"""
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (
+                   PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                   sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '')
+                          || coalesce(text, ''))) AS place
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), convs AS (
+        SELECT *, conv_id - conv_id % 5 AS head_id, {head} AS taken
+        FROM (SELECT DISTINCT conv_id FROM turns)
+    ), rebuilt AS (
+        SELECT c.conv_id, t.place, t.role, t.text
+        FROM convs c JOIN turns t ON t.conv_id = c.head_id AND t.place <= c.taken
+        UNION ALL
+        SELECT c.conv_id, c.taken + t.place, t.role, t.text
+        FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.taken
+    ), sequences AS (
+        SELECT conv_id,
+               list(sha256(strlen(role) || ':' || role || text) ORDER BY place) AS seq,
+               list(strlen(text) ORDER BY place) AS sizes
+        FROM rebuilt GROUP BY conv_id
+        UNION ALL
+        SELECT conv_id, [], [] FROM convs WHERE conv_id NOT IN (SELECT conv_id FROM rebuilt)
+    ), prefixes AS (
+        SELECT conv_id, len(seq) AS size, unnest(range(len(seq) + 1)) AS depth,
+               unnest(list_transform(range(len(seq) + 1),
+                                     lambda d: sha256(array_to_string(seq[1:d], ',')))) AS node,
+               unnest(list_transform(range(len(seq) + 1),
+                                     lambda d: CASE WHEN d = 0 THEN 0 ELSE sizes[d] END)) AS bytes
+        FROM sequences
+    ), nodes AS (
+        SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+               coalesce(string_agg(CASE WHEN size = depth THEN CAST(conv_id AS VARCHAR) END, ','
+                                   ORDER BY conv_id), '') AS ends
+        FROM prefixes GROUP BY depth, node
+    ), linked AS (
+        SELECT n.*, p.node AS parent, q.conv_id AS parent_conv_id
+        FROM nodes n
+        LEFT JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+        LEFT JOIN nodes q ON q.depth = p.depth AND q.node = p.node
+    ), heirs AS (
+        SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children
+        FROM linked WHERE depth > 0 GROUP BY parent, depth
+    ), counted AS (
+        SELECT l.*, coalesce(h.n_children, 0) AS n_children
+        FROM linked l LEFT JOIN heirs h ON h.depth = l.depth AND h.node = l.node
+    ), subtrees AS (
+        SELECT p.depth, p.node, count(CASE WHEN u.n_children = 0 THEN 1 END) AS n_leaves,
+               sum((u.n_convs - 1) * u.bytes) AS saved_tokens
+        FROM counted u JOIN prefixes p ON p.conv_id = u.conv_id AND p.depth <= u.depth
+        GROUP BY p.depth, p.node
+    )
+    SELECT c.conv_id, c.depth, c.parent_conv_id, c.n_convs, c.n_children, s.n_leaves,
+           CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(c.ends) AS ends_sha256
+    FROM counted c JOIN subtrees s ON s.depth = c.depth AND s.node = c.node
+    """
+
+
 ORACLES["op2_license_scan"] = _license_scan()
 ORACLES["op4_source_mixture"] = _mixture()
 ORACLES["op3_near_duplicates"] = _near_duplicates()
 ORACLES["op8_line_dedup"] = _line_dedup()
 ORACLES["op10_url_filter"] = _url_filter()
+ORACLES["op13_merkle_manifest"] = _merkle()
+ORACLES["op11_conversation_trie"] = _conversation_trie()
