@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clientela.functions.columns import stable_hash
+from clientela.functions.selection import first_rows
 from clientela.functions.storage import materialise
 
 # monotonically_increasing_id holds the partition above bit 33, the row below.
@@ -47,42 +48,31 @@ def with_position(df: DataFrame, *order: str | Column, name: str = "position") -
     )
 
 
-def tile_number(position: Column, rows: Column, tiles: int) -> Column:
-    """NTILE from a 0-based position: the first ``rows % tiles`` tiles get one row more."""
-    size = F.floor(rows / tiles)
-    longer = rows % tiles
-    in_longer = longer * (size + 1)
-    tail = F.when(size > 0, F.floor((position - in_longer) / F.greatest(size, F.lit(1))))
-    return (
-        F.when(position < in_longer, F.floor(position / (size + 1)) + 1)
-        .otherwise(longer + tail + 1)
-        .cast("long")
-    )
-
-
-def with_tile(df: DataFrame, value: str, key: str, tiles: int, name: str) -> DataFrame:
-    """NTILE(tiles) ordered by a value, ties in order of the key."""
-    placed = with_position(df, value, key, name=f"{name}_pos")
-    tile = tile_number(F.col(f"{name}_pos"), F.col(f"{name}_pos_of"), tiles)
-    return placed.withColumn(name, tile).drop(f"{name}_pos", f"{name}_pos_of")
-
-
 def dense_index(df: DataFrame, *key: str, name: str) -> DataFrame:
     """0-based index over distinct rows, in key order."""
     return with_position(df, *key, name=name).drop(f"{name}_of")
 
 
-def sample_rows(df: DataFrame, key: str, rows: Column, seed: int) -> DataFrame:
-    """Exactly ``rows`` rows (or all, if fewer), chosen by hash order of the key."""
-    placed = with_position(
-        df.withColumn("draw", stable_hash(F.col(key), seed, "rows")), "draw", key, name="place"
-    )
-    return placed.filter(F.col("place") < rows).select(*df.columns)
+def _drawn(df: DataFrame, key: str, seed: int, purpose: str) -> DataFrame:
+    """Rows with a text whose order is that of the draw, then the key, as a written table."""
+    own = F.coalesce(F.col(key), F.lit(""))
+    drawn = F.concat(stable_hash(own, seed, purpose), own)
+    return materialise(df.withColumn("draw", drawn), "drawn")
+
+
+def sample_rows(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
+    """Exactly ``rows`` rows (or all, if fewer), chosen by hash order of a key no two rows share."""
+    return first_rows(_drawn(df, key, seed, "rows"), "draw", rows).select(*df.columns)
 
 
 def sample_share(df: DataFrame, key: str, share: float, seed: int) -> DataFrame:
-    """The first ``share`` of the rows in hash order of the key."""
-    placed = with_position(
-        df.withColumn("draw", stable_hash(F.col(key), seed, "share")), "draw", key, name="place"
-    )
-    return placed.filter((F.col("place") + 1) / F.col("place_of") <= share).select(*df.columns)
+    """The first ``share`` of the rows in hash order of a key no two rows share."""
+    drawn = _drawn(df, key, seed, "share")
+    total = drawn.count()
+    rows = int(share * total)
+    # The row at a share is decided as the quotient rounds, not the product.
+    while rows < total and (rows + 1) / total <= share:
+        rows += 1
+    while rows > 0 and rows / total > share:
+        rows -= 1
+    return first_rows(drawn, "draw", rows).select(*df.columns)

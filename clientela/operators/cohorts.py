@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clientela.config import DIRECT_SALES_AREA, INVOICE, RECEIPT, TYPE_B, RunConfig
-from clientela.functions.ranking import sample_rows, sample_share, with_tile
+from clientela.functions.ranking import sample_rows, sample_share
+from clientela.functions.selection import above_tiles, tile_bounds, tile_of
+from clientela.functions.storage import materialise
 from clientela.operators.lines import (
     SALE_TYPES,
     in_scope,
@@ -232,6 +234,7 @@ def invoice_totals(cohorts: Cohorts, src: Sources, cfg: RunConfig) -> DataFrame:
     )
 
 
+TILES = 100
 INVOICE_SHARES = {
     "transactions_tile": ("total_transactions_fctr", "total_transactions"),
     "sales_tile": ("total_sales_amt_fctr", "total_sales_amt"),
@@ -239,18 +242,33 @@ INVOICE_SHARES = {
 }
 
 
-def with_invoice_tiles(totals: DataFrame) -> DataFrame:
-    """Percentile of each customer in the invoice share of transactions, sales and units."""
-    tiled = totals.filter(
+def _with_shares(totals: DataFrame) -> DataFrame:
+    """Customers that have sales, with their invoice shares as doubles, as a written table."""
+    some = totals.filter(
         (F.col("total_transactions") != 0)
         & (F.col("total_sales_amt") != 0)
         & (F.col("total_units_cnt") != 0)
     )
-    for tile, (part, whole) in INVOICE_SHARES.items():
-        share = F.col(part).cast("double") / F.col(whole).cast("double")
-        tiled = with_tile(tiled.withColumn("share", share), "share", "customer_id", 100, tile)
-        tiled = tiled.drop("share")
-    return tiled
+    shares = {
+        f"{tile}_share": F.col(part).cast("double") / F.col(whole).cast("double")
+        for tile, (part, whole) in INVOICE_SHARES.items()
+    }
+    return materialise(some.withColumns(shares), "invoice_shares")
+
+
+def with_invoice_tiles(totals: DataFrame) -> DataFrame:
+    """Percentile of each customer in the invoice share of transactions, sales and units.
+
+    The ends of all percentiles come from counts; no row is sorted or moved.
+    """
+    shared = _with_shares(totals)
+    names = [f"{tile}_share" for tile in INVOICE_SHARES]
+    bounds = tile_bounds(shared, names, "customer_id", shared.count(), TILES)
+    tiles = {
+        tile: tile_of(F.col(f"{tile}_share"), F.col("customer_id"), bounds[f"{tile}_share"])
+        for tile in INVOICE_SHARES
+    }
+    return shared.withColumns(tiles).select(*totals.columns, *INVOICE_SHARES)
 
 
 def pro_customers(totals: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -261,10 +279,10 @@ def pro_customers(totals: DataFrame, cfg: RunConfig) -> DataFrame:
             & (F.col("total_sales_amt") != 0)
             & (F.col("total_units_cnt") != 0)
         )
-    tiled = with_invoice_tiles(totals)
-    for tile in INVOICE_SHARES:
-        tiled = tiled.filter(F.col(tile) > cfg.percentile)
-    return tiled.select(*totals.columns)
+    shared = _with_shares(totals)
+    names = [f"{tile}_share" for tile in INVOICE_SHARES]
+    above = above_tiles(shared, names, "customer_id", shared.count(), TILES, cfg.percentile)
+    return above.select(*totals.columns)
 
 
 def cohort_counts(pro: DataFrame, totals: DataFrame) -> DataFrame:
@@ -280,7 +298,7 @@ def cohort_counts(pro: DataFrame, totals: DataFrame) -> DataFrame:
 
 def home_sample(receipt: DataFrame, pro: DataFrame, cfg: RunConfig) -> DataFrame:
     """``n_times`` receipt customers for each professional one, exactly."""
-    wanted = pro.agg((F.count_distinct("customer_id") * cfg.n_times).alias("n")).scalar()
+    wanted = pro.agg(F.count_distinct("customer_id")).first()[0] * cfg.n_times
     return sample_rows(receipt, "customer_id", wanted, cfg.seed)
 
 
