@@ -19,6 +19,7 @@ from clientela.llm import (
     merkle,
     mixing,
     neardup,
+    preference,
     quality,
     trie,
     urlfilter,
@@ -184,6 +185,18 @@ def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.trie(materialise(rebuilt, "rebuilt"))
 
 
+@query
+def op12_preference_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return preference.ranked(docs, labels, ~held_out).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     changed = merkle.tampered(F.col("doc_id"), F.col("n_chars"))
