@@ -1,4 +1,4 @@
-"""Classifier, clusters and the surrogate tree, on Spark ML."""
+"""Classifier, clusters and the surrogate tree."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     LogisticRegressionModel,
 )
@@ -22,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clientela.config import RunConfig
 from clientela.functions.columns import hash_below
+from clientela.operators import boosting
+from clientela.operators.boosting import BoostConfig, BoostedTrees
 
 BOOSTED = ("gbt", "xgboost")
 LOGISTIC = "logreg"
@@ -46,18 +47,11 @@ def train_classifier(vectors: DataFrame, cfg: RunConfig):
         share = cfg.training_rows / rows
         vectors = vectors.filter(hash_below(F.col("customer_id"), cfg.seed, "fit", share))
         rows = cfg.training_rows
-    labelled = vectors.withColumn("label", F.col("target").cast("double"))
     if cfg.model in BOOSTED:
-        trees = GBTClassifier(
-            maxDepth=cfg.tree_depth,
-            maxIter=cfg.trees,
-            stepSize=cfg.learning_rate,
-            seed=cfg.seed,
-            cacheNodeIds=cfg.tree_depth > 10,
-            checkpointInterval=10,
-        )
-        return trees.fit(labelled)
+        boost = BoostConfig(trees=cfg.trees, depth=cfg.tree_depth, rate=cfg.learning_rate)
+        return boosting.fit(vectors, rows, boost)
     if cfg.model == LOGISTIC:
+        labelled = vectors.withColumn("label", F.col("target").cast("double"))
         # An L2 penalty of 1 on the summed loss is 1/n on the mean loss.
         return LogisticRegression(
             maxIter=cfg.logreg_iterations,
@@ -70,6 +64,8 @@ def train_classifier(vectors: DataFrame, cfg: RunConfig):
 
 def score(model, vectors: DataFrame, cfg: RunConfig) -> DataFrame:
     """Probability of typeB and the class above the threshold."""
+    if isinstance(model, BoostedTrees):
+        return with_prediction(model.with_probability(vectors, "prob_typeB"), cfg)
     probability = vector_to_array("probability")[1]
     kept = [c for c in vectors.columns if c != "features"]
     scored = model.transform(vectors).select(*kept, probability.alias("prob_typeB"))
@@ -133,10 +129,10 @@ def classifier_metrics(predictions: DataFrame) -> DataFrame:
 
 def coefficients(model, dictionary: DataFrame, cfg: RunConfig, created_at: str) -> DataFrame:
     """Coefficient (or importance) of each feature. One number per dictionary entry."""
-    weights = getattr(model, "coefficients", None)
-    weights = model.featureImportances if weights is None else weights
+    trees = isinstance(model, BoostedTrees)
+    weights = model.importances if trees else model.coefficients.toArray()
     values = dictionary.sparkSession.createDataFrame(
-        [(i, float(w)) for i, w in enumerate(weights.toArray())], "feature_idx long, coef double"
+        [(i, float(w)) for i, w in enumerate(weights)], "feature_idx long, coef double"
     )
     return values.join(dictionary, "feature_idx").select(
         F.lit(cfg.country).alias("country_id"),

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
-    GBTClassificationModel,
     LogisticRegressionModel,
 )
 from pyspark.ml.clustering import KMeansModel
@@ -21,6 +20,7 @@ from clientela.operators import features as fe
 from clientela.operators import featureset as fs
 from clientela.operators import models as mo
 from clientela.operators import rules as ru
+from clientela.operators.boosting import BoostedTrees
 from clientela.sources.sinks import (
     COMPLETE,
     latest_version,
@@ -289,7 +289,10 @@ def _standardizer(spark: SparkSession, version: str, cfg: RunConfig) -> DataFram
 
 def save_profile(model: ProfileModel, version: str) -> None:
     """All of a training in one folder: scoring never mixes two trainings."""
-    model.classifier.write().overwrite().save(f"{version}/classifier")
+    if isinstance(model.classifier, BoostedTrees):
+        model.classifier.save(f"{version}/classifier")
+    else:
+        model.classifier.write().overwrite().save(f"{version}/classifier")
     publish_parquet(model.dictionary, f"{version}/dictionary")
     publish_parquet(model.coefficients, f"{version}/coefficients")
     publish_parquet(model.test_predictions, f"{version}/test_predictions")
@@ -300,10 +303,14 @@ def save_profile(model: ProfileModel, version: str) -> None:
 
 
 def load_profile(spark: SparkSession, version: str, cfg: RunConfig) -> ProfileModel:
-    kind = LogisticRegressionModel if cfg.model == mo.LOGISTIC else GBTClassificationModel
+    saved = f"{version}/classifier"
+    if cfg.model == mo.LOGISTIC:
+        classifier = LogisticRegressionModel.load(saved)
+    else:
+        classifier = BoostedTrees.load(spark, saved)
     dictionary = spark.read.parquet(f"{version}/dictionary")
     return ProfileModel(
-        classifier=kind.load(f"{version}/classifier"),
+        classifier=classifier,
         dictionary=dictionary,
         width=dictionary.count(),
         standardizer=_standardizer(spark, version, cfg),
