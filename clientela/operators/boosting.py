@@ -33,6 +33,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from clientela.functions.storage import materialise
 
+#: Sums of nodes times bins that are looked at at once.
+CELLS = 1 << 20
 #: One in units of the rounded gradients.
 UNIT = float(1 << 26)
 #: Least gain of a split.
@@ -206,60 +208,149 @@ def _best_of(offers: list[_Splits], place: np.ndarray) -> _Splits:
 
 
 class _Grower:
-    """One fit over the features of a task; all tasks grow the same trees."""
+    """One fit over the features of a task; all tasks grow the same trees.
+
+    A node with more values than there are bins has its sums as a histogram; that of
+    the larger of two children is what the smaller one leaves of their parent's. The values of
+    the other nodes are sorted by node and bin, and summed as they come.
+    """
 
     def __init__(self, rows: _Rows, bins: _Bins, cfg: BoostConfig, exchange: Exchange):
         self.rows, self.bins, self.cfg, self.exchange = rows, bins, cfg, exchange
         self.margin = np.zeros(len(rows.target))
         sizes = np.diff(np.append(bins.start, bins.total))
         self.feature_of = np.repeat(np.arange(len(bins.cuts)), sizes)
-
-    def _own(self, place: np.ndarray, slope: np.ndarray, totals: np.ndarray) -> _Splits:
-        """Best splits of the open nodes among the features of this task."""
-        cfg, rows, bins = self.cfg, self.rows, self.bins
-        nodes = totals.shape[1]
-        inside = np.flatnonzero(place >= 0)
-        gain, code = np.full(nodes, -np.inf), np.zeros(nodes, np.int64)
-        left = np.zeros((2, nodes))
-        at = place[rows.row]
-        own = np.flatnonzero(at >= 0)
-        if not len(own):
-            return _Splits(gain, code, left, np.zeros(len(inside), bool))
+        # The bins of the task's own features, without gaps.
+        self.own = np.unique(rows.feature)
+        own_sizes = sizes[self.own]
+        self.start = np.cumsum(own_sizes) - own_sizes
+        self.total = int(own_sizes.sum())
+        shift = np.zeros(len(bins.cuts), np.int64)
+        shift[self.own] = self.start - bins.start[self.own]
+        self.code = rows.code + shift[rows.feature]
+        self.zero = bins.zero[self.own] + shift[self.own]
+        self.global_code = np.arange(self.total) - np.repeat(shift[self.own], own_sizes)
+        self.place_of = np.repeat(np.arange(len(self.own)), own_sizes)  # feature of each bin
+        self.edges = np.searchsorted(rows.feature, np.arange(len(bins.cuts) + 1))
+        self.values = np.bincount(rows.row, minlength=len(rows.target)).astype(float)
+        self.histograms: dict[int, np.ndarray] = {}
+
+    def _gain(self, g, h, all_g, all_h) -> np.ndarray:
+        ridge, least = self.cfg.ridge * UNIT, self.cfg.least_hessian * UNIT
+        rest_g, rest_h = all_g - g, all_h - h
+        gain = (g * g / (h + ridge) + rest_g * rest_g / (rest_h + ridge)) / UNIT
+        gain -= all_g * all_g / (all_h + ridge) / UNIT
+        gain[(h < least) | (rest_h < least)] = -np.inf
+        return gain
+
+    def _dense(self, sums: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Gain, bin and left side of the best split of nodes by histograms (nodes, 2, bins)."""
+        rest = totals.T[:, :, None] - np.add.reduceat(sums, self.start, axis=2)
+        sums = sums.copy()
+        sums[:, :, self.zero] += rest
+        below = np.cumsum(sums, axis=2)
+        before = below[:, :, self.start] - sums[:, :, self.start]
+        below -= np.repeat(before, np.diff(np.append(self.start, self.total)), axis=2)
+        g, h = below[:, 0], below[:, 1]
+        gain = self._gain(g, h, totals[0][:, None], totals[1][:, None])
+        best, nodes = np.argmax(gain, axis=1), np.arange(len(sums))
+        return gain[nodes, best], best, np.stack([g[nodes, best], h[nodes, best]])
+
+    def _sparse(self, at: np.ndarray, own: np.ndarray, slope, totals) -> tuple[np.ndarray, ...]:
+        """Nodes, and gain, bin and left side of their best splits, from their values."""
         # Values are in the order of their bins, so grouping by node keeps that order.
-        at = at[own].astype(np.uint16 if nodes <= 1 << 16 else np.int64)
-        order = np.argsort(at, kind="stable")
-        at, own = at[order].astype(np.int64), own[order]
-        feature = rows.feature[own]
-        group = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (feature[1:] != feature[:-1])))
-        sums = slope[:, rows.row[own]]
+        kind = np.uint16 if totals.shape[1] <= 1 << 16 else np.int64
+        order = np.argsort(at.astype(kind), kind="stable")
+        at, own = at[order], own[order]
+        code = self.code[own]
+        feature = self.place_of[code]
+        new = np.append(True, (at[1:] != at[:-1]) | (feature[1:] != feature[:-1]))
+        group = np.flatnonzero(new)
+        sizes = np.diff(np.append(group, len(at)))
+        sums = slope[:, self.rows.row[own]]
+        below = np.cumsum(sums, axis=1)
+        per_group = np.add.reduceat(sums, group, axis=1)
+        ends = np.cumsum(per_group, axis=1)
+        below -= np.repeat(ends - per_group, sizes, axis=1)
         # What the values that are not stored add: all of them lie in the bin of 0.
-        rest = totals[:, at[group]] - np.add.reduceat(sums, group, axis=1)
-        zero = bins.zero[feature[group]]
-        cell = np.concatenate([at * bins.total + rows.code[own], at[group] * bins.total + zero])
-        order = np.argsort(cell, kind="stable")
-        cell = cell[order]
-        below = np.cumsum(np.concatenate([sums, rest], axis=1)[:, order], axis=1)
-        at, own_code = np.divmod(cell, bins.total)
-        feature = self.feature_of[own_code]
-        first = np.append(True, (at[1:] != at[:-1]) | (feature[1:] != feature[:-1]))
-        starts = np.flatnonzero(first)
-        before = np.concatenate([np.zeros((2, 1)), below[:, starts[1:] - 1]], axis=1)
-        below -= np.repeat(before, np.diff(np.append(starts, len(cell))), axis=1)
+        node, zero = at[group], self.zero[feature[group]]
+        rest = totals[:, node] - per_group
+        not_above = code <= np.repeat(zero, sizes)
+        at_zero = np.add.reduceat(np.where(not_above, sums, 0.0), group, axis=1) + rest
+        below += np.where(code >= np.repeat(zero, sizes), np.repeat(rest, sizes, axis=1), 0.0)
         # The last value of a bin has the sums of the whole bin.
-        last = np.append(cell[1:] != cell[:-1], True)
-        at, own_code, (g, h) = at[last], own_code[last], below[:, last]
-        ridge, least = cfg.ridge * UNIT, cfg.least_hessian * UNIT
-        all_g, all_h = totals[0, at], totals[1, at]
-        gains = g * g / (h + ridge) + (all_g - g) ** 2 / (all_h - h + ridge)
-        gains = (gains - all_g**2 / (all_h + ridge)) / UNIT
-        gains[(h < least) | (all_h - h < least)] = -np.inf
-        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        best = np.maximum.reduceat(gains, starts)
-        tops = np.flatnonzero(gains == np.repeat(best, np.diff(np.append(starts, len(at)))))
-        tops = tops[np.append(True, at[tops[1:]] != at[tops[:-1]])]
-        found = at[tops]
-        gain[found], code[found] = gains[tops], own_code[tops]
-        left[:, found] = np.stack([g[tops], h[tops]])
+        last = np.flatnonzero(np.append((at[1:] != at[:-1]) | (code[1:] != code[:-1]), True))
+        at, code, below = at[last], code[last], below[:, last]
+        gain = self._gain(*below, totals[0, at], totals[1, at])
+        zero_gain = self._gain(*at_zero, totals[0, node], totals[1, node])
+        found = np.unique(at)
+
+        def best(at, gain, code, sums):
+            starts = np.searchsorted(at, found)
+            top = np.maximum.reduceat(gain, starts)
+            tops = np.flatnonzero(gain == np.repeat(top, np.diff(np.append(starts, len(at)))))
+            tops = tops[np.append(True, at[tops[1:]] != at[tops[:-1]])]
+            return gain[tops], code[tops], sums[:, tops]
+
+        a, b = best(at, gain, code, below), best(node, zero_gain, zero, at_zero)
+        first = (b[0] > a[0]) | ((b[0] == a[0]) & (b[1] < a[1]))
+        return found, *[np.where(first, y, x) for x, y in zip(a, b, strict=True)]
+
+    def _own(self, opened, leaf, place, slope, totals, kin) -> _Splits:
+        """Best splits of the open nodes among the features of this task.
+
+        ``kin`` has the parent and the sibling of each open node (-1 for the root).
+        """
+        nodes, count = len(opened), int(max(opened.max(), kin.max())) + 1
+        gain, code = np.full(nodes, -np.inf), np.zeros(nodes, np.int64)
+        left = np.zeros((2, nodes))
+        inside = np.flatnonzero(place >= 0)
+        if not self.total:
+            return _Splits(gain, code, left, np.zeros(len(inside), bool))
+        held = np.bincount(leaf, self.values, count)
+        big = held[opened] >= self.total / 2
+        label = leaf[self.rows.row]
+        direct, by_rest = [], []
+        for k in np.flatnonzero(big).tolist():
+            parent, sibling = kin[k].tolist()
+            own = int(opened[k])
+            if parent in self.histograms and held[sibling] < held[own]:
+                by_rest.append((own, parent, sibling))
+                direct.append(sibling)
+            else:
+                direct.append(own)
+        known: dict[int, np.ndarray] = {}
+        if direct:
+            direct = sorted(set(direct))
+            slot = np.full(len(held), -1)
+            slot[direct] = np.arange(len(direct))
+            at = slot[label]
+            some = np.flatnonzero(at >= 0)
+            cell, row = at[some] * self.total + self.code[some], self.rows.row[some]
+            size = len(direct) * self.total
+            sums = np.stack([np.bincount(cell, s[row], size) for s in slope]).astype(float)
+            sums = sums.reshape(2, len(direct), self.total).transpose(1, 0, 2)
+            known = dict(zip(direct, sums, strict=True))
+            known |= {own: self.histograms[p] - known[s] for own, p, s in by_rest}
+            at = np.flatnonzero(big)
+            self.histograms = {int(opened[k]): known[int(opened[k])] for k in at}
+            # A few nodes at a time.
+            step = max(1, CELLS // self.total)
+            for first in range(0, len(at), step):
+                some = at[first : first + step]
+                stacked = np.stack([known[int(opened[k])] for k in some])
+                gain[some], code[some], left[:, some] = self._dense(stacked, totals[:, some])
+        else:
+            self.histograms = {}
+        if not big.all():
+            small = np.full(len(held), -1)
+            small[opened[~big]] = np.flatnonzero(~big)
+            at = small[label]
+            own = np.flatnonzero(at >= 0)
+            if len(own):
+                found, *best = self._sparse(at[own], own, slope, totals)
+                gain[found], code[found], left[:, found] = best
+        code = self.global_code[code]
         return _Splits(gain, code, left, self._right(place, code)[inside])
 
     def _right(self, place: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -268,8 +359,11 @@ class _Grower:
         feature = self.feature_of[code]
         node = np.maximum(place, 0)
         own = self.bins.zero[feature][node]
-        told = np.flatnonzero((place[rows.row] >= 0) & (feature[node[rows.row]] == rows.feature))
-        own[rows.row[told]] = rows.code[told]
+        for f in np.unique(feature).tolist():
+            part = slice(self.edges[f], self.edges[f + 1])
+            row = rows.row[part]
+            told = (feature[node[row]] == f) & (place[row] >= 0)
+            own[row[told]] = rows.code[part][told]
         return own > code[node]
 
     def tree(self) -> list[tuple]:
@@ -280,6 +374,8 @@ class _Grower:
         totals = slope.sum(axis=1).reshape(2, 1)
         leaf = np.zeros(len(rows.target), np.int64)  # node of each row
         opened = np.array([0])  # nodes that may be split
+        kin = np.array([[-1, -1]])  # parent and sibling of each
+        self.histograms = {}
         place = np.zeros(len(rows.target), np.int64)  # among the open ones, -1 if settled
 
         def value(g: float, h: float) -> float:
@@ -288,7 +384,7 @@ class _Grower:
         nodes = [[0, np.inf, 0, 0, value(*totals[:, 0]), 0.0]]
         for _ in range(cfg.depth):
             inside = np.flatnonzero(place >= 0)
-            mine = self._own(place, slope, totals)
+            mine = self._own(opened, leaf, place, slope, totals, kin)
             told = self.exchange(mine.packed()) if self.exchange is not _alone else None
             offers = [mine] if told is None else [
                 _Splits.unpacked(t, len(opened), len(inside)) for t in told
@@ -298,17 +394,19 @@ class _Grower:
             if not parts.any():
                 break
             children = np.zeros((len(opened), 2), np.int64)
-            sums, still = [], []
+            sums, still, related = [], [], []
             for k in np.flatnonzero(parts).tolist():
                 code = int(splits.code[k])
                 feature = int(self.feature_of[code])
                 cut = float(self.bins.cuts[feature][code - self.bins.start[feature]])
                 left = splits.left[:, k]
+                base = len(nodes)
                 for side, part in enumerate((left, totals[:, k] - left)):
-                    number = children[k, side] = len(nodes)
+                    number = children[k, side] = base + side
                     nodes.append([0, np.inf, number, number, value(*part), 0.0])
                     if part[1] >= 2 * cfg.least_hessian * unit:
                         still.append(number)
+                        related.append((int(opened[k]), base + 1 - side))
                         sums.append(part)
                 pair = children[k].tolist()
                 nodes[opened[k]] = [feature, cut, *pair, nodes[opened[k]][4], float(splits.gain[k])]
@@ -318,6 +416,7 @@ class _Grower:
             if not still:
                 break
             opened, totals = np.array(still), np.stack(sums, axis=1)
+            kin = np.array(related)
             number = np.full(len(nodes), -1)
             number[opened] = np.arange(len(opened))
             place = np.full(len(place), -1)
