@@ -56,7 +56,8 @@ class RankModel:
         """Score of each text on the log-odds scale: a against b is the difference."""
         if self.constant is not None:
             return np.zeros(len(statistics))
-        return _above(statistics, self.cuts) @ self.weights
+        # Added up row by row, so that a score does not depend on the rows next to it.
+        return (_above(statistics, self.cuts) * self.weights).sum(axis=1)
 
     def score(self, statistics: np.ndarray) -> np.ndarray:
         """0 to 1; a half at the threshold."""

@@ -21,7 +21,7 @@ def comparable(rows):
 @pytest.mark.parametrize("name", sorted(sql.ORACLES))
 def test_against_sql(spark, testdata, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{testdata}/{table}.parquet'")
     cursor = connection.execute(sql.ORACLES[name])
     columns = [c[0] for c in cursor.description]
@@ -33,7 +33,7 @@ def test_against_sql(spark, testdata, name):
 def test_every_operator_is_registered():
     assert [q.split("_")[0] for q in queries.QUERIES if q.startswith("op")] and {
         q.split("_")[0] for q in queries.QUERIES
-    } == {f"op{n}" for n in range(1, 11)}
+    } == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -57,3 +57,14 @@ def test_nearest_of_all_vectors(spark, testdata):
     asked = vectors.vec_id[vectors.vec_id % 20 == 0]
     assert {r.query_id for r in found} == set(asked)
     assert len(found) == len(asked) * min(20, len(vectors) - 1)
+
+
+def test_preference_on_held_out_documents(spark, testdata):
+    found = entry.queries()["op12_preference_score"](spark, testdata).toPandas()
+    docs = pd.read_parquet(os.path.join(testdata, "documents.parquet"))
+    labels = pd.read_parquet(os.path.join(testdata, "labels.parquet"))
+    assert sorted(found.doc_id) == sorted(docs.doc_id)
+    assert found.score.between(0, 1).all()
+    assert (found.predicted == (found.score >= 0.5)).all()
+    held = found[found.held_out].merge(labels, on="doc_id")
+    assert len(held) > 10 and (held.predicted == held.quality).mean() > 0.95
