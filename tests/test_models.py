@@ -4,6 +4,7 @@ import random
 from dataclasses import replace
 from datetime import date
 
+import numpy as np
 import pytest
 from micro import CFG
 from pyspark.ml.clustering import KMeansModel
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from clientela.functions.storage import materialise
 from clientela.operators import datasets as ds
 from clientela.operators import models as mo
+from clientela.operators.clusters import certificate, lloyd, random_starts
+from clientela.operators.surrogate import SurrogateTree, fit_surrogate_tree
 from clientela.sources import sinks
 
 AT = "2001-01-02 00:00:00"
@@ -117,8 +120,8 @@ def test_surrogate_tree_and_thresholds(spark):
     clustered = vectors.withColumn(
         "cluster", F.when(F.col("customer_id").cast("int") % 4 == 0, 0).otherwise(1)
     )
-    tree = mo.fit_surrogate_tree(clustered, CFG)
-    splits = mo.tree_thresholds(tree, ["x", "y"])
+    tree = fit_surrogate_tree(materialise(clustered, "clustered"))
+    splits = tree.thresholds(["x", "y"])
     assert set(splits) == {"x", "y"}
     # Cluster 0 is the low corner: its points are exactly those at or below both splits.
     values = vector_to_array("features")
@@ -127,14 +130,85 @@ def test_surrogate_tree_and_thresholds(spark):
 
 
 def test_a_feature_used_twice_keeps_the_right_most_split():
-    class Described:
-        toDebugString = (
-            "DecisionTree\n  If (feature 0 <= 5.0)\n   If (feature 0 <= 1.5)\n    Predict: 0.0\n"
-            "   Else (feature 0 > 1.5)\n    Predict: 1.0\n  Else (feature 0 > 5.0)\n"
-            "   If (feature 1 <= 2.0E-4)\n    Predict: 2.0\n   Else (feature 1 > 2.0E-4)\n"
-        )
-
-    assert mo.tree_thresholds(Described(), ["a", "b"]) == {"a": 1.5, "b": 2.0e-4}
+    tree = SurrogateTree({0: (0, 5.0), 1: (0, 1.5), 2: (1, 2.0e-4)}, {3: 0, 4: 1, 5: 2, 6: 3})
+    assert tree.thresholds(["a", "b"]) == {"a": 1.5, "b": 2.0e-4}
+
+
+def test_exact_cuts_equal_a_plain_search(spark):
+    rng = random.Random(7)
+    x = [[rng.choice([0, 1, 1, 2, 5]) + (rng.random() if i % 2 else 0), rng.randrange(6)] for i in range(150)]
+    clusters = [int(a > 2) + int(b > 3 and a < 1.5) + (rng.random() < 0.1) for a, b in x]
+    rows = [(str(i), f, float(v), 0, i) for i, row in enumerate(x) for f, v in enumerate(row)]
+    own = spark.createDataFrame([(str(i), int(c)) for i, c in enumerate(clusters)], "customer_id string, cluster int")
+    vectors = ds.feature_vectors(spark.createDataFrame(rows, LONG), 2).join(own, "customer_id")
+    tree = fit_surrogate_tree(materialise(vectors, "cuts"))
+
+    def purity(members):
+        counts = [members.count(c) for c in set(members)]
+        return sum(n * n for n in counts) / len(members)
+
+    def best(members):
+        found = []
+        for f in range(2):
+            values = sorted({x[i][f] for i in members})
+            for a, b in zip(values, values[1:]):
+                cut = (a + b) / 2
+                sides = [[clusters[i] for i in members if (x[i][f] <= cut) == s] for s in (True, False)]
+                found.append((-(purity(sides[0]) + purity(sides[1])), f, a, cut))
+        return min(found)[1::2]
+
+    everyone = list(range(150))
+    expected = {0: best(everyone)}
+    f, cut = expected[0]
+    for node, side in ((1, True), (2, False)):
+        members = [i for i in everyone if (x[i][f] <= cut) == side]
+        if len({clusters[i] for i in members}) > 1:
+            expected[node] = best(members)
+    assert tree.cuts == expected
+
+
+def test_surrogate_tree_is_saved(spark, tmp_path):
+    tree = SurrogateTree({0: (1, 5.0)}, {1: 0, 2: 3})
+    tree.save(spark, str(tmp_path / "tree"))
+    assert SurrogateTree.load(spark, str(tmp_path / "tree")) == tree
+
+
+def test_one_cluster_is_one_leaf(spark):
+    clustered = materialise(blobs(spark).withColumn("cluster", F.lit(2)), "one")
+    tree = fit_surrogate_tree(clustered)
+    assert (tree.cuts, tree.classes) == ({}, {0: 2})
+    assert tree.transform(clustered).filter("prediction = 2").count() == 240
+
+
+def test_all_starts_in_one_pass_equal_single_fits(spark):
+    vectors = blobs(spark)
+    x = np.array([r.features.toArray() for r in vectors.collect()])
+    starts = random_starts(vectors, 4, 6, 3)
+    assert starts.shape == (6, 4, 2)
+    centres, cost = lloyd(vectors, starts, 1000)
+    for start, own, total in zip(starts, centres, cost, strict=True):
+        plain = start.copy()
+        while True:
+            near = ((x[:, None] - plain[None]) ** 2).sum(axis=2).argmin(axis=1)
+            moved = np.array([x[near == c].mean(axis=0) if (near == c).any() else plain[c] for c in range(4)])
+            if np.abs(moved - plain).max() < 1e-12:
+                break
+            plain = moved
+        np.testing.assert_allclose(own, plain, atol=1e-9)
+        assert total == pytest.approx(((x - plain[near]) ** 2).sum())
+    fitted = mo.fit_clusters(vectors, 4, replace(CFG, seed=3, cluster_restarts=6))
+    told = certificate(vectors, fitted.clusterCenters()).first()
+    assert (told.customers, told.nearest, told.centred) == (240, 240, True)
+    moved = certificate(vectors, [[c[0] + 0.3, c[1]] for c in fitted.clusterCenters()]).first()
+    assert not moved.centred
+
+
+def test_the_optimum_has_a_certificate(separable):
+    cfg = replace(CFG, model="logreg")
+    fitted = mo.train_classifier(separable, cfg)
+    assert tuple(mo.logistic_certificate(fitted, separable, cfg).first()) == (200, True)
+    early = mo.train_classifier(separable, replace(cfg, logreg_iterations=1))
+    assert not mo.logistic_certificate(early, separable, cfg).first().optimal
 
 
 def test_level_1(spark):
