@@ -49,8 +49,11 @@ def with_position(df: DataFrame, *order: str | Column, name: str = "position") -
 
 
 def dense_index(df: DataFrame, *key: str, name: str) -> DataFrame:
-    """0-based index over distinct rows, in key order."""
-    return with_position(df, *key, name=name).drop(f"{name}_of")
+    """0-based index over distinct rows, in key order.
+
+    The rows are written first: the range shuffle reads its input twice, to sample and to sort.
+    """
+    return with_position(materialise(df, f"{name}_rows"), *key, name=name).drop(f"{name}_of")
 
 
 def _drawn(df: DataFrame, key: str, seed: int, purpose: str) -> DataFrame:

@@ -39,14 +39,14 @@ def training_set(long: DataFrame, features: DataFrame, customers: DataFrame) ->
 def scoring_set(
     customers: DataFrame, feature_set: DataFrame, dictionary: DataFrame, model_features: DataFrame
 ) -> DataFrame:
-    """Features known to dictionary and model, of customers with at least one known value."""
+    """Features known to dictionary and model, of customers with at least one known value.
+
+    ``feature_set`` is a written table. Its rows are cut to customers by a partial
+    aggregation before any shuffle, so only a row per customer and task moves for the index.
+    """
     known = feature_set.join(dictionary, "feature_name")
-    with_value = (
-        known.filter(F.col("feature_value").isNotNull())
-        .join(customers.select("customer_id", "target"), "customer_id")
-        .select("customer_id", "target")
-        .distinct()
-    )
+    valued = known.filter(F.col("feature_value").isNotNull()).select("customer_id").distinct()
+    with_value = valued.join(customers.select("customer_id", "target").distinct(), "customer_id")
     indexed = dense_index(with_value, "customer_id", "target", name="customer_idx")
     modelled = model_features.select("feature_name").distinct()
     return (

@@ -863,6 +863,20 @@ STATEMENTS |= {
         FROM (SELECT * FROM cut_0 UNION ALL SELECT * FROM cut_1)""",
 }
 
+STATEMENTS |= {
+    "publish_partitions": """
+        SELECT cid AS customer_id, target, period
+        FROM allc CROSS JOIN (VALUES (200101), (200102)) AS p(period)""",
+    "csv_quarantine": """
+        SELECT CASE WHEN l_orderkey % 50 <> 0 THEN CAST(l_orderkey AS VARCHAR) END AS number,
+               CASE WHEN l_orderkey % 50 <> 0 THEN code END AS item,
+               CASE WHEN l_orderkey % 50 = 0 THEN '?' || CAST(l_orderkey AS VARCHAR) || ',' || code
+               END AS line
+        FROM (SELECT l_orderkey, CASE WHEN l_partkey % 211 = 0 THEN 'X' || CAST(l_partkey AS VARCHAR)
+                                      ELSE lpad(CAST(l_partkey AS VARCHAR), 8, '0') END AS code
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
+}
+
 # What another invoice cohort changes.
 LISTED = ("all_features", "training_set", "profile_rules", "fctr_data")
 

@@ -24,6 +24,7 @@ from clientela.sources.sinks import (
     latest_version,
     mark_complete,
     publish_parquet,
+    read_published,
     version_path,
 )
 from clientela.sources.tables import Sources
@@ -131,6 +132,8 @@ def score_customers(base: Base, model: ProfileModel, cfg: RunConfig) -> DataFram
         cfg.period,
         parameters=model.standardizer,
     )
+    # Read twice: for the index and for the values.
+    chosen = materialise(chosen, "scoring_features")
     long = ds.scoring_set(base.customers, chosen, model.dictionary, model.coefficients)
     vectors = ds.feature_vectors(long, model.width, "target", "customer_idx")
     return mo.score(model.classifier, vectors, cfg)
@@ -272,7 +275,7 @@ def save_level_1(model: Level1Model, version: str) -> None:
 
 
 def load_level_1(spark: SparkSession, version: str, cfg: RunConfig) -> Level1Model:
-    dictionary = spark.read.parquet(f"{version}/dictionary")
+    dictionary = read_published(spark, f"{version}/dictionary")
     return Level1Model(
         KMeansModel.load(f"{version}/clusters"),
         dictionary,
@@ -282,7 +285,7 @@ def load_level_1(spark: SparkSession, version: str, cfg: RunConfig) -> Level1Mod
 
 
 def _standardizer(spark: SparkSession, version: str, cfg: RunConfig) -> DataFrame | None:
-    return spark.read.parquet(f"{version}/standardizer") if cfg.profile_set.standardize else None
+    return read_published(spark, f"{version}/standardizer") if cfg.profile_set.standardize else None
 
 
 def save_profile(model: ProfileModel, version: str) -> None:
@@ -306,15 +309,15 @@ def load_profile(spark: SparkSession, version: str, cfg: RunConfig) -> ProfileMo
         classifier = LogisticRegressionModel.load(saved)
     else:
         classifier = BoostedTrees.load(spark, saved)
-    dictionary = spark.read.parquet(f"{version}/dictionary")
+    dictionary = read_published(spark, f"{version}/dictionary")
     return ProfileModel(
         classifier=classifier,
         dictionary=dictionary,
         width=dictionary.count(),
         standardizer=_standardizer(spark, version, cfg),
-        coefficients=spark.read.parquet(f"{version}/coefficients"),
-        test_predictions=spark.read.parquet(f"{version}/test_predictions"),
-        metrics=spark.read.parquet(f"{version}/metrics"),
+        coefficients=read_published(spark, f"{version}/coefficients"),
+        test_predictions=read_published(spark, f"{version}/test_predictions"),
+        metrics=read_published(spark, f"{version}/metrics"),
     )
 
 
@@ -329,7 +332,7 @@ def save_need(
 
 
 def load_thresholds(spark: SparkSession, version: str) -> ru.NeedThresholds:
-    return ru.NeedThresholds(**spark.read.parquet(f"{version}/thresholds").first().asDict())
+    return ru.NeedThresholds(**read_published(spark, f"{version}/thresholds").first().asDict())
 
 
 def run_month(

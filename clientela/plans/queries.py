@@ -148,6 +148,33 @@ def csv_gzip_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.read_csv_folder(spark, path, fe.FEATURE_SCHEMA, ".csv.gz")
 
 
+@query
+def publish_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """A run put into its partition twice, and another one next to it: one copy of each."""
+    customers = co.all_customers(_cohorts(tpch_sources(spark, folder)))
+    path = scratch_path(spark, "partitioned")
+    placed = materialise(customers.withColumn("period", F.lit(CFG.period)), "run")
+    sinks.put_partitions(placed, path, "period")
+    sinks.put_partitions(placed.withColumn("period", F.lit(CFG.period + 1)), path, "period")
+    return sinks.put_partitions(placed, path, "period").select("customer_id", "target", "period")
+
+
+@query
+def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Every fiftieth document number is damaged on the way out; its lines are kept apart."""
+    sales = tpch_sources(spark, folder).sales
+    number = F.col("sales_return_document_num")
+    damaged = F.when(number % 50 == 0, F.concat(F.lit("?"), number)).otherwise(number.cast("string"))
+    path = scratch_path(spark, "damaged")
+    sinks.export_csv(sales.select(damaged.alias("number"), F.trim("item_id").alias("item")), path)
+    rows, apart = sinks.read_csv_checked(
+        spark, path, "number long, item string", scratch_path(spark, "quarantine"), ".csv.gz"
+    )
+    return rows.select(F.col("number").cast("string"), "item", F.lit(None).cast("string").alias("line")).unionByName(
+        apart.select(F.lit(None).cast("string").alias("number"), F.lit(None).cast("string").alias("item"), "line")
+    )
+
+
 # Projections, filters, joins -----------------------------------------------------------
 
 

@@ -3,20 +3,59 @@
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.util import MLReader, MLWritable
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from clientela.functions.storage import materialise
 
 VERSION_PREFIX = "version="
 
 
+ROWS, POINTERS = "rows", "pointers"
+
+
 def publish_parquet(df: DataFrame, path: str) -> DataFrame:
-    """Replace a published table and return it as written."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace a published table and return it as written.
+
+    The rows go to a folder of their own under ``path``; then one small file names that
+    folder. Who reads the table by ``read_published`` sees the last publication that was finished: one
+    that fails or is killed on the way leaves the table as it was. Older rows stay until they are
+    removed by hand.
+    """
+    spark = df.sparkSession
+    last = _last_pointer(spark, path)
+    number = 1 if last is None else last.number + 1
+    # A try that was given up may have left rows: its folder is not used again.
+    rows = f"{ROWS}/{number:08d}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(f"{path}/{rows}")
+    pointer = spark.createDataFrame([(number, rows)], POINTER).coalesce(1)
+    # Appended, so no reader ever finds no pointer at all.
+    pointer.write.mode("append").parquet(f"{path}/{POINTERS}")
+    return spark.read.schema(df.schema).parquet(f"{path}/{rows}")
+
+
+POINTER = "number long, rows string"
+
+
+def _last_pointer(spark: SparkSession, path: str):
+    try:
+        pointers = spark.read.schema(POINTER).parquet(f"{path}/{POINTERS}")
+    except AnalysisException:
+        return None
+    return pointers.orderBy(F.desc("number"), F.desc("rows")).first()
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the last finished publication."""
+    last = _last_pointer(spark, path)
+    if last is None:
+        raise FileNotFoundError(f"nothing published under {path}")
+    return spark.read.parquet(f"{path}/{last.rows}")
 
 
 def publish_table(df: DataFrame, table: str) -> DataFrame:
@@ -24,7 +63,19 @@ def publish_table(df: DataFrame, table: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
+def put_partitions(df: DataFrame, path: str, *keys: str) -> DataFrame:
+    """Put the rows into the partitions of their keys (country and period of a run, say).
+
+    A partition that has rows in ``df`` is replaced as a whole, the others stay, so doing it
+    twice leaves one copy. Spark moves the new files into place when all of them are written.
+    """
+    writer = df.write.partitionBy(*keys).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_table(df: DataFrame, table: str) -> None:
+    """Add rows to a table, whatever it holds: done twice, they are there twice."""
     df.write.mode("append").saveAsTable(table)
 
 
@@ -37,10 +88,45 @@ def read_csv_folder(
     spark: SparkSession, path: str, schema: StructType | str, extension: str | None = None
 ) -> DataFrame:
     """All CSV files of a folder; with an extension only the files that end in it."""
+    return _csv_reader(spark, schema, extension).csv(path)
+
+
+def _csv_reader(spark: SparkSession, schema: StructType | str, extension: str | None):
     reader = spark.read.schema(schema).option("header", True)
-    if extension:
-        reader = reader.option("pathGlobFilter", f"*{extension}")
-    return reader.csv(path)
+    return reader.option("pathGlobFilter", f"*{extension}") if extension else reader
+
+
+MALFORMED = "_malformed"
+
+
+def read_csv_checked(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    quarantine: str,
+    extension: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The well-formed rows of a folder of CSV files, and the others kept apart.
+
+    A line with too few or too many fields, or with a field that is no value of its type, goes
+    to the quarantine table as ``line`` with the ``file`` it stands in; it is not read as nulls.
+    The files are parsed once, into a written table.
+    """
+    fields = schema if isinstance(schema, StructType) else _struct(schema)
+    marked = StructType([*fields.fields, StructField(MALFORMED, StringType())])
+    reader = _csv_reader(spark, marked, extension).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", MALFORMED).csv(path)
+    parsed = materialise(rows.withColumn("_file", F.col("_metadata.file_path")), "csv")
+    broken = parsed.filter(F.col(MALFORMED).isNotNull())
+    kept_apart = publish_parquet(
+        broken.select(F.col("_file").alias("file"), F.col(MALFORMED).alias("line")), quarantine
+    )
+    good = parsed.filter(F.col(MALFORMED).isNull())
+    return good.select(*fields.names), kept_apart
+
+
+def _struct(schema: str) -> StructType:
+    return StructType.fromDDL(schema)
 
 
 def save_model(model: MLWritable, base: str, day: date | None = None) -> str:
