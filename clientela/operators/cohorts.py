@@ -67,6 +67,62 @@ def customer_flags(src: Sources, cfg: RunConfig) -> DataFrame:
     )
 
 
+def cohort_state(lines: DataFrame, src: Sources, cfg: RunConfig) -> DataFrame:
+    """What some sale lines say about their customers, whatever the window they are read for.
+
+    The history conditions are flags that never go back; of receipts the last day is kept,
+    so that the window can move. Lines may come in any order and more than once: a state is
+    the same after lines that it has seen.
+    """
+    kind = F.col("sales_return_type_cd")
+    history = F.col("sales_return_dt") >= F.lit(cfg.history_from).cast("date")
+    sold = (
+        in_scope(lines, cfg)
+        .filter(history & kind.isin(*SALE_TYPES))
+        .transform(with_item_key)
+        .join(item_keys(src.items, cfg), "item_key", "left_semi")
+    )
+    receipt = F.when(is_positive() & (kind == RECEIPT), F.col("sales_return_dt"))
+    return (
+        with_customer(sold)
+        .groupBy("customer_id")
+        .agg(
+            F.bool_or(F.col("business_area_sales_flg") == DIRECT_SALES_AREA).alias("direct"),
+            F.bool_or(is_positive()).alias("bought"),
+            F.bool_or(is_positive() & (kind == INVOICE)).alias("invoice"),
+            F.max(receipt).alias("last_receipt"),
+        )
+    )
+
+
+def merge_states(state: DataFrame, more: DataFrame) -> DataFrame:
+    """The state after more lines: one shuffle of customers, none of the lines seen before."""
+    return (
+        state.unionByName(more)
+        .groupBy("customer_id")
+        .agg(
+            *[F.bool_or(flag).alias(flag) for flag in ("direct", "bought", "invoice")],
+            F.max("last_receipt").alias("last_receipt"),
+        )
+    )
+
+
+def flags_of_state(state: DataFrame, cfg: RunConfig) -> DataFrame:
+    """``customer_flags`` of a run, from a state that has seen all lines before the run's end.
+
+    The window must lie inside the history, and no line after the end may have been merged.
+    """
+    start, end = period_window(cfg.period, cfg.months)
+    if str(start) < cfg.history_from:
+        raise ValueError(f"the window starts at {start}, before the history at {cfg.history_from}")
+    late = F.concat(F.lit("the state has seen receipts of "), F.col("last_receipt").cast("string"))
+    last = F.when(F.col("last_receipt") >= F.lit(end), F.raise_error(late).cast("date")).otherwise(
+        F.col("last_receipt")
+    )
+    recent = F.coalesce(last >= F.lit(start), F.lit(False))
+    return state.select("customer_id", "direct", "bought", "invoice", recent.alias("receipt"))
+
+
 def in_country(df: DataFrame, cfg: RunConfig) -> DataFrame:
     return df.filter(F.col("country_id") == cfg.country)
 

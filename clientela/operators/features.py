@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from clientela.config import DEPARTMENTS, RunConfig
@@ -21,6 +21,7 @@ from clientela.operators.lines import (
     with_customer,
     with_transaction,
 )
+from clientela.sources.sinks import put_partitions
 from clientela.sources.tables import Sources
 
 FEATURE_SCHEMA = StructType(
@@ -221,15 +222,51 @@ def features(
     Sale lines are read once, whatever the number of families. The customer set is
     applied to the aggregated rows, not to the lines.
     """
+    chosen, kinds = _chosen(cfg, families)
+    lines = feature_lines(src, cfg, credit_notes=m.CREDITED in kinds)
+    measured = m.customer_measures(lines, kinds, cfg.strict_store_label)
+    return as_features(emit_features(measured, customers, chosen))
+
+
+def _chosen(cfg: RunConfig, families: Sequence[str]) -> tuple[list[Emitted], list[str]]:
+    """What the families emit, and the kinds of measures that takes."""
     defined = _emitted(cfg)
     chosen = [emitted for name in families for emitted in defined[name]]
     kinds = {m.ALL}
     for emitted in chosen:
         kinds.update(emitted.needs)
         kinds.add(m.ITEM if emitted.kind in ITEM_KINDS else emitted.kind)
-    lines = feature_lines(src, cfg, credit_notes=m.CREDITED in kinds)
-    measured = m.customer_measures(lines, sorted(kinds), cfg.strict_store_label)
-    return as_features(emit_features(measured, customers, chosen))
+    return chosen, sorted(kinds)
+
+
+def put_months(src: Sources, cfg: RunConfig, path: str) -> None:
+    """Measure the months of the run's window and put them into the store at ``path``.
+
+    A month that is there already is replaced as a whole, so months with late lines are measured
+    again and a repeated run changes nothing. ``replace(cfg, months=1)`` reads the lines of
+    the last month alone.
+    """
+    lines = feature_lines(src, cfg)
+    put_partitions(m.month_measures(lines, cfg.strict_store_label), path, "month")
+
+
+def features_of_months(
+    spark: SparkSession,
+    path: str,
+    cfg: RunConfig,
+    customers: DataFrame,
+    families: Sequence[str] = FAMILIES,
+) -> DataFrame:
+    """``features`` of the window from the store alone: no sale line is read.
+
+    Months outside of the window are not read; they may stay in the store. Item codes are
+    those of the catalog when the month was measured.
+    """
+    start, end = period_window(cfg.period, cfg.months)
+    first, stop = (day.year * 100 + day.month for day in (start, end))
+    stored = spark.read.parquet(path).filter((F.col("month") >= first) & (F.col("month") < stop))
+    chosen, kinds = _chosen(cfg, families)
+    return as_features(emit_features(m.merged_measures(stored, kinds), customers, chosen))
 
 
 def emit_features(

@@ -150,13 +150,17 @@ WITH_DAY = (ALL,)
 
 
 def label_measures(
-    lines: DataFrame, carried: Mapping[str, Column], labels: Mapping[str, Column]
+    lines: DataFrame,
+    carried: Mapping[str, Column],
+    labels: Mapping[str, Column],
+    monthly: bool = False,
 ) -> DataFrame:
     """Measures of each customer by (``kind``, ``label``), all kinds in one pass.
 
     ``carried`` are columns taken from the lines, ``labels`` maps a kind to the label
     made from them. The kind ``item`` also carries the item's codes in ``item``.
-    Credit notes only count as such.
+    Credit notes only count as such. With ``monthly`` there is a row for each ``month``
+    (YYYYMM): a transaction has one day, so the rows of several months add up.
     """
     with_item = ITEM in labels
     spread = _narrow(
@@ -186,11 +190,13 @@ def label_measures(
     of_sale = F.array(*[entry(kind, label) for kind, label in labels.items()])
     of_credit = F.array(entry(CREDITED, F.lit("").cast("string")))
     entries = F.when(F.col("credited"), of_credit).otherwise(of_sale)
-    rows = spread.select("customer_id", "basket", "counted", F.inline_outer(entries)).filter(
+    month = (F.year("day") * 100 + F.month("day")).alias("month")
+    by = [month] if monthly else []
+    rows = spread.select("customer_id", *by, "basket", "counted", F.inline_outer(entries)).filter(
         F.col("label").isNotNull()
     )
-    keys = ["customer_id", "kind", "label"] + (["item"] if with_item else [])
-    return _once_per_basket(rows, keys)
+    keys = ["customer_id", *(["month"] if monthly else []), "kind", "label"]
+    return _once_per_basket(rows, keys + (["item"] if with_item else []))
 
 
 MEASURE_COLUMNS = ("transactions", "units", "amount", "last_day")
@@ -203,20 +209,39 @@ def with_members(measured: DataFrame) -> DataFrame:
     )
 
 
+def _chosen(kinds: Sequence[str] | None, strict_store: bool) -> dict[str, Column]:
+    labels = standard_labels(strict_store)
+    return {k: v for k, v in labels.items() if kinds is None or k in kinds}
+
+
 def customer_measures(
     lines: DataFrame, kinds: Sequence[str] | None = None, strict_store: bool = False
 ) -> DataFrame:
-    """Measures of each customer, partitioned by customer.
+    """Measures of each customer, partitioned by customer."""
+    chosen = _chosen(kinds, strict_store)
+    measured = label_measures(lines, {k: v() for k, v in CARRIED.items()}, chosen)
+    return over_items(measured) if ITEM in chosen else with_members(measured)
+
+
+def month_measures(lines: DataFrame, strict_store: bool = False) -> DataFrame:
+    """State of all kinds by customer and month, to be kept and added up by ``merged_measures``."""
+    carried = {k: v() for k, v in CARRIED.items()}
+    return label_measures(lines, carried, _chosen(None, strict_store), monthly=True)
 
-    Rows of the kind ``item`` are turned into the distinct counts taken over items:
-    their number goes to ``members``. A customer has at most one row for each item
-    and label, so working on whole customers from here on is bounded by the catalog.
+
+def merged_measures(months: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """``customer_measures`` of the kinds, from the rows that some months left."""
+    # What an item adds to distinct counts is told apart behind the shuffle, so months just add up.
+    return over_items(months.filter(F.col("kind").isin(*kinds)).drop("month"))
+
+
+def over_items(measured: DataFrame) -> DataFrame:
+    """Turn rows of the kind ``item`` into the distinct counts taken over items.
+
+    Their number goes to ``members``; rows of the other kinds are added up by label. A customer
+    has at most one row for each item and label (and month), so working on whole customers from
+    here on is bounded by the catalog.
     """
-    labels = standard_labels(strict_store)
-    chosen = {k: v for k, v in labels.items() if kinds is None or k in kinds}
-    measured = label_measures(lines, {k: v() for k, v in CARRIED.items()}, chosen)
-    if ITEM not in chosen:
-        return with_members(measured)
     item = F.col("item")
 
     def entry(kind: Column, label: Column, part: Column, whole: Column | None = None) -> Column:

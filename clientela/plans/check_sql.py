@@ -877,6 +877,16 @@ STATEMENTS |= {
               FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
 }
 
+STATEMENTS |= {
+    "all_features_merged": STATEMENTS["all_features"],
+    "cohort_state_merged": """
+        SELECT cid AS customer_id, bool_or(area = 'VE') AS direct,
+               bool_or(amt > 0 AND units > 0) AS bought,
+               bool_or(amt > 0 AND units > 0 AND kind = 'fctr') AS invoice,
+               bool_or(amt > 0 AND units > 0 AND kind = 'blta' AND dt >= DATE '1999-01-01') AS receipt
+        FROM hist WHERE kind IN ('blta', 'fctr') GROUP BY cid""",
+}
+
 # What another invoice cohort changes.
 LISTED = ("all_features", "training_set", "profile_rules", "fctr_data")
 

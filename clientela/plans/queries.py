@@ -305,6 +305,27 @@ def all_customers_ve(spark: SparkSession, folder: str) -> DataFrame:
     return co.feature_customers(_cohorts(tpch_sources(spark, folder)))
 
 
+@query
+def cohort_state_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Flags from a running state: old lines, then those of the last months, then late ones."""
+    src = tpch_sources(spark, folder)
+    start, end = li.period_window(CFG.period, 6)
+    day = F.col("sales_return_dt")
+    late = F.col("sales_return_document_num") % 10 == 0
+    steps = [
+        (day < F.lit(start)) & ~late,
+        (day >= F.lit(start)) & (day < F.lit(end)) & ~late,
+        (day < F.lit(end)) & late,
+    ]
+    path = scratch_path(spark, "cohort_state")
+    for step in steps:
+        state = co.cohort_state(src.sales.filter(step), src, CFG)
+        if step is not steps[0]:
+            state = co.merge_states(sinks.read_published(spark, path), state)
+        sinks.publish_parquet(state, path)
+    return co.flags_of_state(sinks.read_published(spark, path), CFG)
+
+
 def _invoice_totals(spark: SparkSession, folder: str) -> tuple[Sources, co.Cohorts, DataFrame]:
     src = tpch_sources(spark, folder)
     cohorts = _cohorts(src)
@@ -409,6 +430,18 @@ def all_features(spark: SparkSession, folder: str) -> DataFrame:
     return _features(spark, folder)
 
 
+@query
+def all_features_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """From a store of months: last month's run left its window, this one adds its last month."""
+    src = tpch_sources(spark, folder)
+    store = scratch_path(spark, "months")
+    year, month = divmod(CFG.period, 100)
+    before = (year - 1) * 100 + 12 if month == 1 else CFG.period - 1
+    fe.put_months(src, replace(CFG, period=before), store)
+    fe.put_months(src, replace(CFG, months=1), store)
+    return fe.features_of_months(spark, store, CFG, _universe(src))
+
+
 # Feature sets ------------------------------------------------------------------------------
 
 
