@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from clientela.config import DEPARTMENTS, RunConfig
@@ -69,12 +69,17 @@ def _months_since(cfg: RunConfig) -> Column:
     return months_between_calendar(F.lit(end), F.col("total_last_day")).cast("long")
 
 
-def feature_lines(src: Sources, cfg: RunConfig, credit_notes: bool = True) -> DataFrame:
+def known_items(src: Sources, cfg: RunConfig) -> DataFrame:
+    """The catalog, written first: with its true size known, Spark broadcasts it or not."""
+    return materialise(catalog(src.items, src.main_skus, cfg), "catalog")
+
+
+def feature_lines(
+    src: Sources, cfg: RunConfig, items: DataFrame, credit_notes: bool = True
+) -> DataFrame:
     """The sale lines of the window with item codes, canonical customer and transaction."""
     lines = sales_and_credit_notes(src.sales, cfg) if credit_notes else valid_sales(src.sales, cfg)
-    # Written first: with its true size known, Spark broadcasts the catalog or not.
-    known_items = materialise(catalog(src.items, src.main_skus, cfg), "catalog")
-    joined = join_catalog(lines, known_items)
+    joined = join_catalog(lines, items)
     return with_customer(with_transaction(joined, cfg))
 
 
@@ -83,7 +88,9 @@ TOTAL_KINDS = (m.ALL, m.LOCATION, m.ITEM)
 
 def totals(src: Sources, cfg: RunConfig, customers: DataFrame) -> DataFrame:
     """One row per customer with a valid sale: the denominators and counts of all features."""
-    measured = m.customer_measures(feature_lines(src, cfg, credit_notes=False), TOTAL_KINDS)
+    items = known_items(src, cfg)
+    lines = feature_lines(src, cfg, items, credit_notes=False)
+    measured = m.customer_measures(lines, items, TOTAL_KINDS)
     names = ("transactions", "units", "amount", "last_day", "stores", "items", "sets", "departments")
     return (
         measured.groupBy("customer_id")
@@ -223,8 +230,9 @@ def features(
     applied to the aggregated rows, not to the lines.
     """
     chosen, kinds = _chosen(cfg, families)
-    lines = feature_lines(src, cfg, credit_notes=m.CREDITED in kinds)
-    measured = m.customer_measures(lines, kinds, cfg.strict_store_label)
+    items = known_items(src, cfg)
+    lines = feature_lines(src, cfg, items, credit_notes=m.CREDITED in kinds)
+    measured = m.customer_measures(lines, items, kinds, cfg.strict_store_label)
     return as_features(emit_features(measured, customers, chosen))
 
 
@@ -246,27 +254,30 @@ def put_months(src: Sources, cfg: RunConfig, path: str) -> None:
     again and a repeated run changes nothing. ``replace(cfg, months=1)`` reads the lines of
     the last month alone.
     """
-    lines = feature_lines(src, cfg)
+    lines = feature_lines(src, cfg, known_items(src, cfg))
     put_partitions(m.month_measures(lines, cfg.strict_store_label), path, "month")
 
 
 def features_of_months(
-    spark: SparkSession,
-    path: str,
+    src: Sources,
     cfg: RunConfig,
+    path: str,
     customers: DataFrame,
     families: Sequence[str] = FAMILIES,
 ) -> DataFrame:
     """``features`` of the window from the store alone: no sale line is read.
 
-    Months outside of the window are not read; they may stay in the store. Item codes are
-    those of the catalog when the month was measured.
+    Months outside of the window are not read; they may stay in the store. Counts by family,
+    group and department are by the catalog when the month was measured, distinct counts of
+    items by the catalog of today.
     """
+    spark = src.items.sparkSession
     start, end = period_window(cfg.period, cfg.months)
     first, stop = (day.year * 100 + day.month for day in (start, end))
     stored = spark.read.parquet(path).filter((F.col("month") >= first) & (F.col("month") < stop))
     chosen, kinds = _chosen(cfg, families)
-    return as_features(emit_features(m.merged_measures(stored, kinds), customers, chosen))
+    measured = m.merged_measures(stored, known_items(src, cfg), kinds)
+    return as_features(emit_features(measured, customers, chosen))
 
 
 def emit_features(
@@ -304,7 +315,7 @@ def label_share(
     The label Column is the whole feature name and may use the columns of the sale
     line and of the catalog; lines where it is NULL are left out.
     """
-    lines = feature_lines(src, cfg, credit_notes=False)
+    lines = feature_lines(src, cfg, known_items(src, cfg), credit_notes=False)
     labels = {m.ALL: F.lit(""), "custom": F.col("custom")}
     measured = m.with_members(m.label_measures(lines, {"custom": label}, labels))
     share = F.col("transactions").cast("double") / _total("transactions")

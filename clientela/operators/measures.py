@@ -43,8 +43,9 @@ DEPARTMENTS_SEEN = "departments"
 SUBFAMILIES = "subfamilies"
 MAIN_SKU = "main_sku"
 
+# What the distinct counts need of an item. It joins the catalog behind the first two shuffles,
+# which carry the item's key alone.
 ITEM_COLUMNS = (
-    "item_id",
     "catalog_item_id",
     "hier_department_cd",
     "hier_set_cd",
@@ -158,7 +159,7 @@ def label_measures(
     """Measures of each customer by (``kind``, ``label``), all kinds in one pass.
 
     ``carried`` are columns taken from the lines, ``labels`` maps a kind to the label
-    made from them. The kind ``item`` also carries the item's codes in ``item``.
+    made from them. The kind ``item`` also carries the item's key in ``item``.
     Credit notes only count as such. With ``monthly`` there is a row for each ``month``
     (YYYYMM): a transaction has one day, so the rows of several months add up.
     """
@@ -168,7 +169,7 @@ def label_measures(
         "customer_id",
         (F.col("sales_return_type_cd") == CREDIT_NOTE).alias("credited"),
         *[column.alias(name) for name, column in carried.items()],
-        *([F.struct(*ITEM_COLUMNS).alias("codes")] if with_item else []),
+        *([F.col("item_key").alias("own_item")] if with_item else []),
     )
 
     def only(kind: str, kinds: Sequence[str], column: str) -> Column:
@@ -184,7 +185,7 @@ def label_measures(
             only(kind, WITH_DAY, "day").alias("day"),
         ]
         if with_item:
-            fields.append(only(kind, (ITEM,), "codes").alias("item"))
+            fields.append(only(kind, (ITEM,), "own_item").alias("item"))
         return F.struct(*fields)
 
     of_sale = F.array(*[entry(kind, label) for kind, label in labels.items()])
@@ -215,12 +216,15 @@ def _chosen(kinds: Sequence[str] | None, strict_store: bool) -> dict[str, Column
 
 
 def customer_measures(
-    lines: DataFrame, kinds: Sequence[str] | None = None, strict_store: bool = False
+    lines: DataFrame,
+    items: DataFrame,
+    kinds: Sequence[str] | None = None,
+    strict_store: bool = False,
 ) -> DataFrame:
-    """Measures of each customer, partitioned by customer."""
+    """Measures of each customer, partitioned by customer. ``items`` is the catalog of the lines."""
     chosen = _chosen(kinds, strict_store)
     measured = label_measures(lines, {k: v() for k, v in CARRIED.items()}, chosen)
-    return over_items(measured) if ITEM in chosen else with_members(measured)
+    return over_items(measured, items) if ITEM in chosen else with_members(measured)
 
 
 def month_measures(lines: DataFrame, strict_store: bool = False) -> DataFrame:
@@ -229,20 +233,35 @@ def month_measures(lines: DataFrame, strict_store: bool = False) -> DataFrame:
     return label_measures(lines, carried, _chosen(None, strict_store), monthly=True)
 
 
-def merged_measures(months: DataFrame, kinds: Sequence[str]) -> DataFrame:
+def merged_measures(months: DataFrame, items: DataFrame, kinds: Sequence[str]) -> DataFrame:
     """``customer_measures`` of the kinds, from the rows that some months left."""
     # What an item adds to distinct counts is told apart behind the shuffle, so months just add up.
-    return over_items(months.filter(F.col("kind").isin(*kinds)).drop("month"))
+    return over_items(months.filter(F.col("kind").isin(*kinds)).drop("month"), items)
+
+
+def _with_codes(measured: DataFrame, items: DataFrame) -> DataFrame:
+    """Rows with the codes of their item as ``codes``; one for each catalog row of its key.
+
+    Rows of other kinds match nothing; their own hash keeps them from gathering under one key.
+    """
+    codes = items.select(
+        F.col("item_key").alias("own_key"),
+        F.lit(ITEM).alias("own_kind"),
+        F.struct(*ITEM_COLUMNS).alias("codes"),
+    )
+    key = F.when(F.col("kind") == ITEM, F.col("item")).otherwise(F.xxhash64("customer_id", "label"))
+    same = (F.col("key") == F.col("own_key")) & (F.col("kind") == F.col("own_kind"))
+    return measured.withColumn("key", key).join(codes, same, "left").drop("key", "own_key", "own_kind")
 
 
-def over_items(measured: DataFrame) -> DataFrame:
+def over_items(measured: DataFrame, items: DataFrame) -> DataFrame:
     """Turn rows of the kind ``item`` into the distinct counts taken over items.
 
     Their number goes to ``members``; rows of the other kinds are added up by label. A customer
     has at most one row for each item and label (and month), so working on whole customers from
     here on is bounded by the catalog.
     """
-    item = F.col("item")
+    item, raw_id = F.col("codes"), F.col("label")
 
     def entry(kind: Column, label: Column, part: Column, whole: Column | None = None) -> Column:
         whole = F.lit(None).cast("long") if whole is None else whole
@@ -252,8 +271,8 @@ def over_items(measured: DataFrame) -> DataFrame:
 
     nothing, no_part = F.lit(""), F.lit(None).cast("string")
     of_item = F.array(
-        entry(F.lit(SKUS), item["subfamily"], item["item_id"]),
-        entry(F.lit(ITEMS), nothing, item["item_id"]),
+        entry(F.lit(SKUS), item["subfamily"], raw_id),
+        entry(F.lit(ITEMS), nothing, raw_id),
         entry(F.lit(SETS), nothing, item["hier_set_cd"]),
         entry(F.lit(DEPARTMENTS_SEEN), nothing, item["hier_department_cd"]),
         entry(
@@ -267,7 +286,8 @@ def over_items(measured: DataFrame) -> DataFrame:
     as_is = F.array(entry(F.col("kind"), F.col("label"), no_part))
     entries = F.when(F.col("kind") == ITEM, of_item).otherwise(as_is)
     rows = (
-        measured.repartition("customer_id")
+        _with_codes(measured, items)
+        .repartition("customer_id")
         .withColumn("entries", entries)
         .select("customer_id", *MEASURE_COLUMNS, F.inline_outer("entries"))
         .filter(F.col("label").isNotNull())

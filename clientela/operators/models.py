@@ -79,7 +79,7 @@ def with_run(df: DataFrame, cfg: RunConfig, classified_at: str, model: str) -> D
         {
             "country_id": F.lit(cfg.country),
             "model": F.lit(model),
-            "classification_dttm": F.lit(classified_at),
+            "classification_dttm": F.lit(classified_at).cast("timestamp_ntz"),
             "period": F.lit(cfg.period).cast("long"),
         }
     )

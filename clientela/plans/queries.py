@@ -439,7 +439,7 @@ def all_features_merged(spark: SparkSession, folder: str) -> DataFrame:
     before = (year - 1) * 100 + 12 if month == 1 else CFG.period - 1
     fe.put_months(src, replace(CFG, period=before), store)
     fe.put_months(src, replace(CFG, months=1), store)
-    return fe.features_of_months(spark, store, CFG, _universe(src))
+    return fe.features_of_months(src, CFG, store, _universe(src))
 
 
 # Feature sets ------------------------------------------------------------------------------

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import random
 from collections import defaultdict
 from dataclasses import replace
@@ -145,10 +147,16 @@ def test_against_brute_force_with_a_hot_customer(spark):
 
 def test_lines_are_scanned_once_and_filters_reach_the_scan(spark, testdata, capsys):
     src = tpch_sources(spark, testdata)
-    measured = me.customer_measures(fe.feature_lines(src, TPCH_RUN))
+    items = fe.known_items(src, TPCH_RUN)
+    measured = me.customer_measures(fe.feature_lines(src, TPCH_RUN, items), items)
     measured.explain("formatted")
     plan = capsys.readouterr().out
     assert plan.count("lineitem.parquet]") == 1
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
     for joined in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert joined not in plan
+    # Codes of items join behind the shuffles by basket and by label: these carry the item's key.
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    by_line = [columns for columns in moved if "basket" in columns or "label" in columns]
+    assert len(by_line) >= 2
+    assert not any("hier_set_cd" in columns or "is_main_sku" in columns for columns in by_line)

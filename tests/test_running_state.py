@@ -29,7 +29,7 @@ def test_months_equal_one_pass(spark, testdata, tmp_path):
     for period in (200011, 200012, 200012):
         fe.put_months(src, replace(cfg, period=period, months=2), store)
     fe.put_months(src, replace(cfg, months=1), store)
-    found = fe.features_of_months(spark, store, cfg, everyone, families)
+    found = fe.features_of_months(src, cfg, store, everyone, families)
     assert rows(found) == rows(fe.features(src, cfg, everyone, families))
     # Months outside of the window stay in the store and are not read.
     assert spark.read.parquet(store).select("month").distinct().count() > 3
