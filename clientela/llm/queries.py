@@ -68,7 +68,8 @@ def op4_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     celled = mixing.with_cell(table(spark, folder, "documents"))
     narrow = celled.select("doc_id", "_source", "_lang", "_topic", "_tokens")
     narrow = materialise(narrow, "document-cells")
-    cells = materialise(mixing.raked_cells(narrow, cfg), "mix")
+    cells = mixing.with_expected_shares(materialise(mixing.raked_cells(narrow, cfg), "mix"), cfg)
+    shares = [F.round(f"_{name}_share", 6).alias(f"{name}_share") for name in cfg.targets]
     return mixing.with_probability(narrow, cells, cfg).select(
         "doc_id",
         F.col("_source").alias("source"),
@@ -77,6 +78,7 @@ def op4_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_tokens").alias("n_tokens"),
         F.round("_probability", 6).alias("probability"),
         F.col("_kept").alias("kept"),
+        *shares,
     )
 
 

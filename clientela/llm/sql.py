@@ -148,13 +148,19 @@ def _license_scan() -> str:
     """
 
 
+#: Rounds of raking in SQL. Where it ends does not depend on how many more there are.
+RAKING_ROUNDS = 60
+
+
 def _mixture() -> str:
+    """Target shares straight from token counts; probabilities from rounds that only SQL takes."""
     cfg = MixConfig()
     names = list(cfg.targets)
     keys = ", ".join(names)
+    most = 1 / cfg.budget
     steps = [
         f"""docs AS (
-            SELECT doc_id, coalesce(source, '{NONE}') AS source, coalesce(lang, '{NONE}') AS lang,
+            SELECT doc_id, source, lang,
                    CASE WHEN text LIKE '% | %' THEN 'table' WHEN text LIKE '%!!%' THEN 'shout'
                         WHEN n < 150 THEN 'short' WHEN n >= 1000 THEN 'long' ELSE 'prose'
                    END AS topic, n AS n_tokens
@@ -164,54 +170,73 @@ def _mixture() -> str:
                   FROM documents)
         )""",
         f"cells AS (SELECT {keys}, sum(n_tokens) AS tokens FROM docs GROUP BY {keys})",
-        "everything AS (SELECT sum(tokens) AS all_tokens FROM cells)",
+        """based AS (SELECT *, coalesce(tokens / nullif(sum(tokens) OVER (), 0), 0) AS base
+                     FROM cells)""",
     ]
     for name, target in cfg.targets.items():
+        # A value gets what it asks for or all it has. In the order of what it has against what it
+        # asks for, the first are those that get all; the others share what these leave.
         steps.append(
-            f"""target_{name} AS (
-                SELECT {name}, t / sum(t) OVER () AS share
-                FROM (SELECT {name}, pow(sum(tokens), {target.power}) AS t FROM cells
-                      WHERE tokens > 0 GROUP BY {name})
+            f"""asked_{name} AS (
+                SELECT *, CASE WHEN wish > 0 THEN limited / wish END AS ratio
+                FROM (SELECT {name}, sum(base) * {most} AS limited,
+                             CASE WHEN sum(tokens) > 0 THEN pow(sum(tokens), {target.power})
+                                  ELSE 0 END AS wish
+                      FROM based GROUP BY {name})
+            ),
+            level_{name} AS (
+                SELECT max(level) AS level FROM (
+                    SELECT ratio, (1 - coalesce(sum(limited) OVER before, 0)) /
+                                  (sum(wish) OVER () - coalesce(sum(wish) OVER before, 0)) AS level
+                    FROM asked_{name} WHERE wish > 0
+                    WINDOW before AS (ORDER BY ratio, {name} NULLS FIRST
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+                WHERE level <= ratio
+            ),
+            target_{name} AS (
+                SELECT {name}, least(limited, coalesce(wish * level, limited)) AS share
+                FROM asked_{name}, level_{name}
             )"""
         )
+    inner = "raked"
+    for name in names:
+        inner = f"""(
+            SELECT c.* EXCLUDE (m, high, low), m * CASE
+                       WHEN high + low = 0 THEN 1 WHEN share <= high THEN share / (high + low)
+                       WHEN low > 0 THEN (share - high) / low ELSE 1 END AS m
+            FROM (SELECT *,
+                         sum(CASE WHEN m >= {most} THEN base * {most} ELSE 0 END)
+                             OVER (PARTITION BY {name}) AS high,
+                         sum(CASE WHEN m < {most} THEN base * m ELSE 0 END)
+                             OVER (PARTITION BY {name}) AS low
+                  FROM {inner}) c
+            JOIN (SELECT {name} AS at, share FROM target_{name}) t
+              ON c.{name} IS NOT DISTINCT FROM t.at)"""
     steps.append(
-        f"w0 AS (SELECT {keys}, tokens, tokens / all_tokens AS weight FROM cells, everything)"
+        f"""raked AS (
+            SELECT {keys}, tokens, base, 0 AS k, 1.0::DOUBLE AS m FROM based
+            UNION ALL
+            SELECT {keys}, tokens, base, k + 1, m FROM {inner} WHERE k < {RAKING_ROUNDS}
+        )"""
     )
-    step = 0
-    for _ in range(cfg.rounds):
-        for name in names:
-            steps.append(
-                f"""w{step + 1} AS MATERIALIZED (
-                    SELECT c.* EXCLUDE (weight, have), CASE WHEN have > 0
-                           THEN weight * coalesce(share, 0) / have ELSE 0 END AS weight
-                    FROM (SELECT *, sum(weight) OVER (PARTITION BY {name}) AS have FROM w{step}) c
-                    LEFT JOIN target_{name} t ON c.{name} = t.{name}
-                )"""
-            )
-            step += 1
     steps.append(
-        f"""s0 AS (SELECT w.*, 1.0::DOUBLE AS scale, all_tokens * {cfg.budget} AS budget,
-                         CASE WHEN tokens > 0 THEN weight * all_tokens * {cfg.budget} / tokens
-                              ELSE 0 END AS rate
-                  FROM w{step} w, everything)"""
+        f"""chances AS (
+            SELECT {keys}, CASE WHEN tokens > 0 THEN least(1.0, m * {cfg.budget}) ELSE 0 END AS p
+            FROM raked WHERE k = {RAKING_ROUNDS}
+        )"""
     )
-    for k in range(cfg.scale_rounds):
-        steps.append(
-            f"""s{k + 1} AS MATERIALIZED (
-                SELECT s.* EXCLUDE (scale, expected),
-                       CASE WHEN expected > 0 THEN scale * budget / expected ELSE 1.0 END AS scale
-                FROM (SELECT *, sum(least(1.0, scale * rate) * tokens) OVER () AS expected
-                      FROM s{k}) s
-            )"""
-        )
+    shares = ", ".join(f"round(t_{n}.share, 6) AS {n}_share" for n in names)
+    targets = " ".join(
+        f"JOIN target_{n} t_{n} ON d.{n} IS NOT DISTINCT FROM t_{n}.{n}" for n in names
+    )
+    same = " AND ".join(f"d.{n} IS NOT DISTINCT FROM c.{n}" for n in names)
     return f"""
-    WITH {", ".join(steps)}
-    SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens,
-           round(least(1.0, scale * rate), 6) AS probability,
+    WITH RECURSIVE {", ".join(steps)}
+    SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens, round(p, 6) AS probability,
            CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '{NONE}') || ':{cfg.seed}'),
-                               1, 13) AS BIGINT) / {float(1 << 52)!r} < least(1.0, scale * rate) AS kept
-    FROM docs d JOIN s{cfg.scale_rounds} c
-      ON d.source = c.source AND d.lang = c.lang AND d.topic = c.topic
+                               1, 13) AS BIGINT) / {float(1 << 52)!r} < p AS kept,
+           {shares}
+    FROM docs d JOIN chances c ON {same} {targets}
     """
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from collections import defaultdict
 
@@ -137,20 +138,83 @@ def test_targets_are_met(spark):
     cells = cells.toPandas()
     assert abs(cells.weight.sum() - 1) < 1e-9
     for name, target in cfg.targets.items():
-        tokens = cells.groupby(f"_{name}").tokens.sum() ** target.power
-        have = cells.groupby(f"_{name}").weight.sum()
-        assert (abs(have - tokens / tokens.sum()) < 1e-3).all()
+        tokens = cells.groupby(f"_{name}", dropna=False).tokens.sum() ** target.power
+        have = cells.groupby(f"_{name}", dropna=False).weight.sum()
+        wish = tokens / tokens.sum()
+        assert (abs(have - wish) < 1e-3).all()
+        # What is drawn has the shares, not only the weights before a cut at one.
+        drawn = (cells.tokens * cells.probability).groupby(cells[f"_{name}"], dropna=False).sum()
+        assert (abs(drawn / drawn.sum() - have) < 1e-6).all()
     expected = (cells.tokens * cells.probability).sum()
     assert abs(expected - cfg.budget * cells.tokens.sum()) < 1e-3 * cells.tokens.sum()
     assert cells.probability.between(0, 1).all()
 
 
+def test_shares_of_all_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables are not here")
+    cfg = mixing.MixConfig()
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    cells = mixing.raked_cells(mixing.with_cell(docs), cfg).toPandas()
+    drawn = cells.tokens * cells.probability
+    assert (cells.probability == 1).sum() > 50  # many cells give all they have
+    assert abs(drawn.sum() / cells.tokens.sum() - cfg.budget) < 1e-6
+    for name, target in cfg.targets.items():
+        wish = cells.groupby(f"_{name}", dropna=False).tokens.sum() ** target.power
+        have = drawn.groupby(cells[f"_{name}"], dropna=False).sum() / drawn.sum()
+        assert (abs(have / (wish / wish.sum()) - 1) < 1e-3).all()
+
+
+def test_wishes_beyond_what_there_is(spark):
+    """A value that is asked for more than it has gives all of it; contradictions are told."""
+    rows = [(k, "word " * (1 if k < 5 else 100), "en", "small" if k < 5 else f"s{k % 2}", 1)
+            for k in range(200)]
+    cells = mixing.raked_cells(mixing.with_cell(tables.documents(spark, rows))).toPandas()
+    drawn = (cells.tokens * cells.probability).groupby(cells._source).sum()
+    assert drawn["small"] == pytest.approx(5)
+    assert drawn.sum() == pytest.approx(cells.tokens.sum() / 2)
+    assert drawn["s0"] / drawn["s1"] == pytest.approx((97 / 98) ** 0.5, rel=1e-6)
+    # Two sources of one language each, whose targets pull apart.
+    apart = [(k, "word " * 100, "en" if k % 3 else "de", "a" if k % 3 else "b", 1) for k in range(90)]
+    docs = mixing.with_cell(tables.documents(spark, apart))
+    cfg = {"source": mixing.Target(0.0), "lang": mixing.Target(1.0), "topic": mixing.Target(1.0)}
+    cells = mixing.raked_cells(docs, mixing.MixConfig(targets=cfg, rounds=6)).toPandas()
+    assert (cells["miss"] > 0.1).all() and cells.probability.between(0, 1).all()
+    with pytest.raises(ValueError, match="cannot be met"):
+        mixing.raked_cells(docs, mixing.MixConfig(targets=cfg, rounds=6, strict=True))
+
+
+def test_null_is_not_a_name(spark):
+    rows = [(k, "word " * 50, "en", "(none)" if k % 4 else None, 1) for k in range(80)]
+    cells = mixing.raked_cells(mixing.with_cell(tables.documents(spark, rows))).collect()
+    assert {c._source: c.documents for c in cells} == {None: 20, "(none)": 60}
+
+
+def test_a_topic_that_the_caller_knows(spark):
+    docs = tables.documents(spark, table_of(spark)).withColumn("subject", F.col("doc_id") % 2)
+    cfg = mixing.MixConfig(budget=0.2, targets={
+        "topic": mixing.Target(shares={0: 0.9, 1: 0.1}),
+    })
+    kept = mixing.mixed(docs, cfg, F.col("subject"))
+    assert kept.columns == docs.columns
+    sides = dict(kept.groupBy("subject").count().collect())
+    assert sides[0] > 5 * sides[1]
+
+
 def test_given_shares(spark):
     shares = {"hot": 0.1, "s0": 0.6, "nowhere": 0.3}
     cfg = mixing.MixConfig(targets={
         "source": mixing.Target(shares=shares), "lang": mixing.Target(1.0), "topic": mixing.Target(1.0),
     }, rounds=60)
-    cells = mixing.raked_cells(mixing.with_cell(tables.documents(spark, table_of(spark))), cfg)
+    docs = mixing.with_cell(tables.documents(spark, table_of(spark)))
+    with pytest.raises(ValueError, match="cannot be met"):  # s0 has a twelfth of all tokens
+        mixing.raked_cells(docs, cfg)
+    with pytest.raises(ValueError, match="no value of source"):
+        alone = {"source": mixing.Target(shares={"nowhere": 1.0})}
+        mixing.raked_cells(docs, mixing.MixConfig(targets=alone))
+    cfg = mixing.MixConfig(targets=cfg.targets, budget=0.05)
+    cells = mixing.raked_cells(docs, cfg)
     have = defaultdict(float)
     for row in cells.collect():
         have[row._source] += row.weight
@@ -185,4 +249,4 @@ def test_draws_follow_the_probability(spark):
 @pytest.mark.parametrize("text, topic", [("a | b", "table"), ("NO!!", "shout"), ("a", "short"), (None, "short")])
 def test_topics(spark, text, topic):
     row = mixing.with_cell(tables.documents(spark, [(1, text, None, None, 1)])).first()
-    assert (row._topic, row._source, row._lang) == (topic, "(none)", "(none)")
+    assert (row._topic, row._source, row._lang) == (topic, None, None)
