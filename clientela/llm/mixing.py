@@ -12,8 +12,9 @@ run, with any partitioning and after a lost executor.
 
 Everything is a DataFrame expression. Cells are as many as combinations occur,
 however many documents there are, and a source with a third of all documents is
-added up before the shuffle. A step adds the cells up by value and joins the sums back,
-and each round writes its cells; no task holds all of them. The driver sees totals and
+added up before the shuffle. A step adds the cells up by value, in one task up to
+``CELLS_OF_A_TASK`` cells and by a shuffle and a join beyond, and each round writes its
+cells; no task holds more. The driver sees totals and
 the largest miss.
 
 Targets: shares that are given are demands, and ``ValueError`` says if they cannot be
@@ -108,9 +109,9 @@ def _quotient(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def _exact(number: str) -> str:
+def _exact(number: str, over: str = "") -> str:
     """A sum that does not depend on the order of the rows, so that every run takes the same steps."""
-    return f"CAST(sum(CAST({number} AS DECIMAL(32, 20))) AS DOUBLE)"
+    return f"CAST(sum(CAST({number} AS DECIMAL(32, 20))) {over} AS DOUBLE)"
 
 
 def _wishes(cells: DataFrame, name: str, target: Target, budget: float) -> DataFrame:
@@ -153,12 +154,27 @@ def _targets(cells: DataFrame, name: str, target: Target, budget: float) -> Data
     return wishes.select(F.col("value").alias("at"), share.alias(f"target_{name}"))
 
 
-def _adjusted(cells: DataFrame, name: str, most: float) -> DataFrame:
-    """The cells after a step in one dimension; ``miss``: how far its values were off before."""
+def _with_sums(cells: DataFrame, name: str, most: float, tasks: int) -> DataFrame:
+    """The cells with ``full`` and ``free``: sums of their value over cells at one and below.
+
+    Cells of one task stay in it: windows keep the plan of a round short. More of them
+    are added up before a shuffle, since one value may hold most cells. The sums are equal.
+    """
+    full = f"if(times >= {most!r}D, share * {most!r}D, 0D)"
+    free = f"if(times >= {most!r}D, 0D, share * times)"
+    if tasks == 1:
+        over = f"OVER (PARTITION BY _{name})"
+        return cells.withColumns({
+            "full": F.expr(_exact(full, over)), "free": F.expr(_exact(free, over))
+        })
     sums = cells.groupBy(F.col(f"_{name}").alias("at")).agg(
-        F.expr(f"{_exact(f'if(times >= {most!r}D, share * {most!r}D, 0D)')} AS full"),
-        F.expr(f"{_exact(f'if(times >= {most!r}D, 0D, share * times)')} AS free"),
+        F.expr(_exact(full)).alias("full"), F.expr(_exact(free)).alias("free")
     )
+    return cells.join(sums, F.expr(f"_{name} <=> at"))
+
+
+def _adjusted(cells: DataFrame, name: str, most: float, tasks: int) -> DataFrame:
+    """The cells after a step in one dimension; ``miss``: how far its values were off before."""
     step = f"""CASE WHEN full + free = 0 THEN 1D
         WHEN target_{name} <= full THEN try_divide(target_{name}, full + free)
         WHEN free > 0 THEN try_divide(target_{name} - full, free)
@@ -166,7 +182,7 @@ def _adjusted(cells: DataFrame, name: str, most: float) -> DataFrame:
     off = f"abs(full + free - target_{name})"
     miss = f"if(target_{name} > 0, try_divide({off}, target_{name}), {off})"
     rest = [c for c in cells.columns if c not in ("times", "miss")]
-    return cells.join(sums, F.expr(f"_{name} <=> at")).selectExpr(
+    return _with_sums(cells, name, most, tasks).selectExpr(
         *(f"`{c}`" for c in rest), f"times * {step} AS times", f"greatest(miss, {miss}) AS miss"
     )
 
@@ -196,7 +212,7 @@ def raked_cells(docs_with_cell: DataFrame, cfg: MixConfig = MixConfig()) -> Data
     for _ in range(cfg.rounds):
         cells = cells.withColumn("miss", F.lit(0.0))
         for name in cfg.targets:
-            cells = _adjusted(cells, name, most)
+            cells = _adjusted(cells, name, most, tasks)
         # One written table for each round: a step's sums are used by the steps after it.
         cells = materialise(cells, "raked").coalesce(tasks)
         miss = cells.agg(F.max("miss")).first()[0]

@@ -185,6 +185,14 @@ def test_wishes_beyond_what_there_is(spark):
         mixing.raked_cells(docs, mixing.MixConfig(targets=cfg, rounds=6, strict=True))
 
 
+def test_cells_of_one_task_and_of_many(spark, monkeypatch):
+    """Sums by windows in one task and sums by a shuffle take the same steps."""
+    cells = mixing.with_cell(tables.documents(spark, table_of(spark)[:300] + tables.ODD))
+    one = sorted(mixing.raked_cells(cells).collect(), key=str)
+    monkeypatch.setattr(mixing, "CELLS_OF_A_TASK", 4)
+    assert len(one) > 8 and sorted(mixing.raked_cells(cells).collect(), key=str) == one
+
+
 def test_null_is_not_a_name(spark):
     rows = [(k, "word " * 50, "en", "(none)" if k % 4 else None, 1) for k in range(80)]
     cells = mixing.raked_cells(mixing.with_cell(tables.documents(spark, rows))).collect()
