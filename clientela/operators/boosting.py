@@ -27,11 +27,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import BarrierTaskContext
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from clientela.functions.storage import materialise
+from clientela.functions.vectors import entries, stored, width_of
 
 #: Sums of nodes times bins that are looked at at once.
 CELLS = 1 << 20
@@ -65,10 +65,9 @@ def feature_cuts(vectors: DataFrame, width: int, bins: int) -> list[np.ndarray]:
     They come to the driver: at most ``bins`` numbers a feature.
     """
     shares = [k / bins for k in range(1, bins)]
-    values = vectors.select(F.posexplode(vector_to_array("features")).alias("feature", "value"))
+    values = vectors.select(F.inline(stored("features")))
     told = (
-        values.filter("value <> 0")
-        .groupBy("feature")
+        values.groupBy("feature")
         .agg(
             F.percentile_approx("value", shares, 10 * bins).alias("cuts"),
             F.max("value").alias("most"),
@@ -116,19 +115,6 @@ class _Bins:
         return code
 
 
-def _entries(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, feature and value of all stored values of a column of vectors, sparse or dense."""
-    sparse = column.field("type").to_numpy(zero_copy_only=False) == 0
-    values = column.field("values")
-    sizes = np.diff(values.offsets.to_numpy())
-    row = np.repeat(np.arange(len(column)), sizes)
-    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    feature = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    indices = column.field("indices").flatten().to_numpy(zero_copy_only=False)
-    feature[sparse[row]] = indices
-    return row, feature, flat
-
-
 def _read(batches: Iterator[pa.RecordBatch], bins: _Bins) -> _Rows:
     """Rows (id, target, no feature) and values (id, feature, value) of a task."""
     ids, targets, owners, features, codes = [], [], [], [], []
@@ -444,8 +430,7 @@ def _dealt(vectors: DataFrame, tasks: int) -> DataFrame:
         F.lit(None).cast("int").alias("feature"),
         F.lit(None).cast("double").alias("value"),
     )
-    values = told.select("id", F.posexplode(vector_to_array("features")).alias("feature", "value"))
-    values = values.filter("value <> 0").select(
+    values = told.select("id", F.inline(stored("features"))).select(
         F.pmod("feature", F.lit(tasks)).cast("int").alias("slot"),
         "id",
         F.lit(None).cast("int").alias("target"),
@@ -459,7 +444,7 @@ def _dealt(vectors: DataFrame, tasks: int) -> DataFrame:
 def fit(vectors: DataFrame, rows: int, cfg: BoostConfig) -> BoostedTrees:
     """Trees for ``target`` (0 or 1) over ``features``; ``vectors`` is a written table."""
     spark = vectors.sparkSession
-    width = vectors.select(F.size(vector_to_array("features"))).first()[0]
+    width = vectors.select(width_of("features")).first()[0]
     bins = _Bins.of(feature_cuts(vectors, width, cfg.bins))
     slots = spark.sparkContext.defaultParallelism
     tasks = max(1, min(cfg.tasks, slots, -(-rows // cfg.rows_per_task)))
@@ -558,7 +543,7 @@ class BoostedTrees:
             for batch in batches:
                 for first in range(0, batch.num_rows, most):
                     piece = batch.slice(first, most)
-                    row, feature, value = _entries(piece["features"])
+                    row, feature, value = entries(piece["features"])
                     dense = np.zeros((piece.num_rows, width))
                     dense[row, feature] = value
                     p = 1.0 / (1.0 + np.exp(-model.margin(dense)))
