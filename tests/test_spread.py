@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from clientela.functions.storage import tasks_of
 from clientela.operators import cohorts as co
 from clientela.operators import features as fe
+from clientela.operators import measures as m
+from clientela.sources import tpch
 from clientela.sources.tpch import TPCH_RUN, tpch_sources
 
 
@@ -32,3 +34,56 @@ def test_more_lines_more_tasks(spark, testdata, monkeypatch):
     after, many = told()
     assert before == after and len(before) > 0
     assert few <= int(spark.conf.get("spark.sql.shuffle.partitions")) < 15 < many <= 23
+
+
+def _write(spark, folder, orders: int, lines: int) -> str:
+    """Orders of 7 customers, of whom one has half of all, with some lines each."""
+    number = F.col("id")
+    customer = F.when(number % 2 == 0, 0).otherwise(number % 7)
+    spark.range(orders).select(
+        number.alias("o_orderkey"),
+        customer.cast("long").alias("o_custkey"),
+        F.lit("O").alias("o_orderstatus"),
+        F.lit(1.0).alias("o_totalprice"),
+        F.lit("2000-06-01").cast("timestamp").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority"),
+    ).write.parquet(f"{folder}/orders.parquet")
+    spark.range(orders * lines).select(
+        (number % orders).alias("l_orderkey"),
+        (number % 5 + 1).alias("l_partkey"),
+        F.lit(1).cast("long").alias("l_suppkey"),
+        (number % 3 + 1).cast("double").alias("l_quantity"),
+        (number % 11 + 1).cast("double").alias("l_extendedprice"),
+        F.lit(0.0).alias("l_discount"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def _parts(df) -> int:
+    return len(df.select(F.spark_partition_id().alias("part")).distinct().collect())
+
+
+def test_lines_meet_orders_in_more_tasks(spark, tmp_path, monkeypatch):
+    folder = _write(spark, tmp_path, 300, 4)
+    before = tpch.sales(spark, folder)
+    rows = sorted(map(str, before.collect()))
+    monkeypatch.setattr(tpch, "LINES_PER_TASK", 60)
+    after = tpch.sales(spark, folder)
+    assert sorted(map(str, after.collect())) == rows and len(rows) == 1200
+    assert _parts(before) <= 4 < 15 < _parts(after) <= 20
+
+
+def test_sums_of_baskets_in_more_tasks(spark, tmp_path):
+    """The second shuffle is dealt as well, and a customer's baskets still come in shares."""
+    sales = tpch.sales(spark, _write(spark, tmp_path, 300, 4)).withColumns(
+        {"item_key": F.col("item_id").cast("long"), "trx_key": F.col("sales_return_document_num").cast("string")}
+    )
+    # Some lines have no transaction.
+    sales = sales.withColumn("trx_key", F.when(F.col("sales_return_document_num") % 9 != 0, F.col("trx_key")))
+    labels = {m.ALL: F.lit(""), m.LOCATION: F.col("location").cast("string"), m.ITEM: F.col("item_id")}
+    carried = {"location": F.col("location_id"), "item_id": F.col("item_id")}
+    few = m.label_measures(sales, carried, labels)
+    many = m.label_measures(sales, carried, labels, tasks=20)
+    assert few.schema == many.schema
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    assert _parts(few) <= 4 < 12 < _parts(many) <= 20
