@@ -14,7 +14,7 @@ restarts the stage.
 
 An exchange takes about a second in Spark, whatever its size: with several tasks a tree takes
 as many seconds as it has levels, which pays for tables far beyond ``rows_per_task``. All
-tasks of the stage must run at once (no dynamic allocation), and each needs some 40 bytes a row and 12
+tasks of the stage must run at once (no dynamic allocation), and each needs some 40 bytes a row and 30
 bytes for each value of its features.
 """
 
@@ -33,8 +33,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from clientela.functions.storage import materialise
 from clientela.functions.vectors import entries, stored, width_of
 
-#: Sums of nodes times bins that are looked at at once.
-CELLS = 1 << 20
+#: A node with fewer values has no histogram, however few bins there are.
+LEAST_VALUES = 2048
 #: One in units of the rounded gradients.
 UNIT = float(1 << 26)
 #: Least gain of a split.
@@ -193,12 +193,29 @@ def _best_of(offers: list[_Splits], place: np.ndarray) -> _Splits:
     return _Splits(gain[winner, nodes], code[winner, nodes], left, right)
 
 
+def _changes(sorted_: np.ndarray) -> np.ndarray:
+    """Whether each entry is the first of its kind in a row."""
+    first = np.ones(len(sorted_), bool)
+    np.not_equal(sorted_[1:], sorted_[:-1], out=first[1:])
+    return first
+
+
+def _order(numbers: np.ndarray) -> np.ndarray:
+    """Stable order of numbers from 0 to 2**32, 16 bits at a time: those are sorted by counting."""
+    order = np.argsort(numbers.astype(np.uint16), kind="stable")
+    if len(numbers) and numbers.max() >= 1 << 16:
+        high = (numbers >> 16).astype(np.uint16)
+        order = order[np.argsort(high[order], kind="stable")]
+    return order
+
+
 class _Grower:
     """One fit over the features of a task; all tasks grow the same trees.
 
-    A node with more values than there are bins has its sums as a histogram; that of
-    the larger of two children is what the smaller one leaves of their parent's. The values of
-    the other nodes are sorted by node and bin, and summed as they come.
+    A node with more values than half the bins has its sums as a histogram, added up from the
+    first bin of each feature; that of the larger of two children is what the smaller one leaves of
+    their parent's, so only the rows of the smaller one are read. The values of the other nodes are
+    sorted by node and bin, and summed as they come.
     """
 
     def __init__(self, rows: _Rows, bins: _Bins, cfg: BoostConfig, exchange: Exchange):
@@ -213,142 +230,243 @@ class _Grower:
         self.total = int(own_sizes.sum())
         shift = np.zeros(len(bins.cuts), np.int64)
         shift[self.own] = self.start - bins.start[self.own]
-        self.code = rows.code + shift[rows.feature]
+        self.code = (rows.code + shift[rows.feature]).astype(np.int32)
         self.zero = bins.zero[self.own] + shift[self.own]
         self.global_code = np.arange(self.total) - np.repeat(shift[self.own], own_sizes)
         self.place_of = np.repeat(np.arange(len(self.own)), own_sizes)  # feature of each bin
         self.edges = np.searchsorted(rows.feature, np.arange(len(bins.cuts) + 1))
-        self.values = np.bincount(rows.row, minlength=len(rows.target)).astype(float)
+        self.runs = np.flatnonzero(_changes(self.code))  # first value of each bin that has some
+        by_row = np.argsort(rows.row, kind="stable")
+        self.code_of_row, self.row = self.code[by_row], rows.row[by_row]  # row after row
         self.histograms: dict[int, np.ndarray] = {}
 
+    def _begin(self, slope: np.ndarray) -> None:
+        """The bins of a tree: those that the root may be cut at.
+
+        A cut that leaves too little on a side of the root does so in each node. So the bins
+        below the first cut of a feature are one with it, those above the last one are one, and
+        features without a cut are left out.
+        """
+        totals = slope.sum(axis=1)
+        sums = np.zeros((2, self.total))
+        allowed = np.zeros(self.total, bool)
+        if self.total:
+            for s, own in zip(slope, sums, strict=True):
+                own[self.code[self.runs]] = np.add.reduceat(s.take(self.rows.row), self.runs)
+            sums[:, self.zero] += totals[:, None] - np.add.reduceat(sums, self.start, axis=1)
+            hessian = sums[1].copy()
+            hessian[self.start[1:]] -= totals[1]
+            allowed = self._allowed(np.cumsum(hessian), totals[1])
+        cuts = np.bincount(self.place_of[allowed], minlength=len(self.own))
+        kept = np.flatnonzero(cuts)
+        sizes = cuts[kept] + 1
+        start = np.cumsum(sizes) - sizes
+        # The bin of the tree for each bin: cuts of the feature before it.
+        before = np.cumsum(allowed) - allowed
+        new = np.full(self.total, -1, np.int32)
+        some = cuts[self.place_of] > 0
+        first = np.zeros(len(self.own), np.int64)
+        first[kept] = start - before[self.start[kept]]
+        new[some] = (before + first[self.place_of])[some]
+        own = new[self.code_of_row]
+        held = own >= 0
+        self.of_row = own[held]
+        self.values = np.bincount(self.row[held], minlength=len(self.rows.target))
+        self.first = np.cumsum(self.values) - self.values
+        self.t_total, self.t_start, self.t_zero = int(sizes.sum()), start, new[self.zero[kept]]
+        self.t_place = np.repeat(np.arange(len(kept)), sizes)
+        self.t_global = np.zeros(self.t_total, np.int64)
+        self.t_global[new[allowed]] = self.global_code[allowed]
+        counted = [np.bincount(new[some], own[some], self.t_total) for own in sums]
+        self.root = np.stack(counted).astype(float)
+        self.root[:, self.t_start[1:]] -= totals[:, None]
+        np.cumsum(self.root, axis=1, out=self.root)
+        self.histograms = {}
+        self.active = np.empty(0, np.int32), np.empty(0, np.int32)
+
     def _gain(self, g, h, all_g, all_h) -> np.ndarray:
-        ridge, least = self.cfg.ridge * UNIT, self.cfg.least_hessian * UNIT
-        rest_g, rest_h = all_g - g, all_h - h
-        gain = (g * g / (h + ridge) + rest_g * rest_g / (rest_h + ridge)) / UNIT
+        ridge = self.cfg.ridge * UNIT
+        gain, rest, rest_h = g * g, all_g - g, all_h - h
+        gain /= h + ridge
+        rest *= rest
+        rest_h += ridge
+        rest /= rest_h
+        gain += rest
+        gain /= UNIT
         gain -= all_g * all_g / (all_h + ridge) / UNIT
-        gain[(h < least) | (rest_h < least)] = -np.inf
         return gain
 
-    def _dense(self, sums: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Gain, bin and left side of the best split of nodes by histograms (nodes, 2, bins)."""
-        rest = totals.T[:, :, None] - np.add.reduceat(sums, self.start, axis=2)
-        sums = sums.copy()
-        sums[:, :, self.zero] += rest
-        below = np.cumsum(sums, axis=2)
-        before = below[:, :, self.start] - sums[:, :, self.start]
-        below -= np.repeat(before, np.diff(np.append(self.start, self.total)), axis=2)
-        g, h = below[:, 0], below[:, 1]
-        gain = self._gain(g, h, totals[0][:, None], totals[1][:, None])
-        best, nodes = np.argmax(gain, axis=1), np.arange(len(sums))
-        return gain[nodes, best], best, np.stack([g[nodes, best], h[nodes, best]])
-
-    def _sparse(self, at: np.ndarray, own: np.ndarray, slope, totals) -> tuple[np.ndarray, ...]:
-        """Nodes, and gain, bin and left side of their best splits, from their values."""
-        # Values are in the order of their bins, so grouping by node keeps that order.
-        kind = np.uint16 if totals.shape[1] <= 1 << 16 else np.int64
-        order = np.argsort(at.astype(kind), kind="stable")
-        at, own = at[order], own[order]
-        code = self.code[own]
-        feature = self.place_of[code]
-        new = np.append(True, (at[1:] != at[:-1]) | (feature[1:] != feature[:-1]))
-        group = np.flatnonzero(new)
+    def _allowed(self, h, all_h) -> np.ndarray:
+        least = self.cfg.least_hessian * UNIT
+        return (h >= least) & (all_h - h >= least)
+
+    def _values_of(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many values each of some rows has, and their bins."""
+        held = self.values[row]
+        ends = np.cumsum(held)
+        return held, self.of_row[np.arange(held.sum()) + np.repeat(self.first[row] - ends + held, held)]
+
+    def _histogram(self, row: np.ndarray, slope: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        """Sums of some rows up to each bin of a feature, those of values that are not stored included."""
+        if len(row) == len(self.values):
+            return self.root
+        held, code = self._values_of(row)
+        sums = np.empty((2, self.t_total))
+        for s, own in zip(slope, sums, strict=True):
+            own[:] = np.bincount(code, np.repeat(s[row], held), self.t_total)
+        sums[:, self.t_zero] += totals[:, None] - np.add.reduceat(sums, self.t_start, axis=1)
+        # Each feature has the same totals: taken off again, its sums start at its first bin.
+        sums[:, self.t_start[1:]] -= totals[:, None]
+        return np.cumsum(sums, axis=1, out=sums)
+
+    def _dense(self, below: np.ndarray, totals: np.ndarray) -> tuple[float, int]:
+        """Gain and bin of the best split of a node by its histogram."""
+        allowed = self._allowed(below[1], totals[1])
+        some = np.count_nonzero(allowed)
+        if not some:
+            return -np.inf, 0
+        if 3 * some > len(allowed):
+            gain = self._gain(*below, *totals)
+            np.copyto(gain, -np.inf, where=~allowed)
+            best = int(np.argmax(gain))
+            return float(gain[best]), best
+        allowed = np.flatnonzero(allowed)
+        gain = self._gain(*below[:, allowed], *totals)
+        best = int(np.argmax(gain))
+        return float(gain[best]), int(allowed[best])
+
+    def _sparse(self, at, row, code, slope, totals) -> tuple[np.ndarray, ...]:
+        """Nodes, and gain, bin and left side of their best splits, from their values.
+
+        Values whose feature has no cut in their node are left out from there on.
+        """
+        # Values of a node are in the order of their bins, so grouping by node keeps that order.
+        order = _order(at)
+        at, row, code = at[order], row[order], code[order]
+        bin_starts = np.flatnonzero(_changes(at) | _changes(code))
+        sums = np.stack([np.add.reduceat(s.take(row), bin_starts) for s in slope])
+        values = row, code
+        at, code = at[bin_starts], code[bin_starts]
+        feature = self.t_place[code]
+        group = np.flatnonzero(_changes(at) | _changes(feature))
         sizes = np.diff(np.append(group, len(at)))
-        sums = slope[:, self.rows.row[own]]
         below = np.cumsum(sums, axis=1)
         per_group = np.add.reduceat(sums, group, axis=1)
         ends = np.cumsum(per_group, axis=1)
         below -= np.repeat(ends - per_group, sizes, axis=1)
         # What the values that are not stored add: all of them lie in the bin of 0.
-        node, zero = at[group], self.zero[feature[group]]
+        node, zero = at[group], self.t_zero[feature[group]]
         rest = totals[:, node] - per_group
-        not_above = code <= np.repeat(zero, sizes)
-        at_zero = np.add.reduceat(np.where(not_above, sums, 0.0), group, axis=1) + rest
-        below += np.where(code >= np.repeat(zero, sizes), np.repeat(rest, sizes, axis=1), 0.0)
-        # The last value of a bin has the sums of the whole bin.
-        last = np.flatnonzero(np.append((at[1:] != at[:-1]) | (code[1:] != code[:-1]), True))
-        at, code, below = at[last], code[last], below[:, last]
-        gain = self._gain(*below, totals[0, at], totals[1, at])
-        zero_gain = self._gain(*at_zero, totals[0, node], totals[1, node])
-        found = np.unique(at)
-
-        def best(at, gain, code, sums):
-            starts = np.searchsorted(at, found)
-            top = np.maximum.reduceat(gain, starts)
-            tops = np.flatnonzero(gain == np.repeat(top, np.diff(np.append(starts, len(at)))))
-            tops = tops[np.append(True, at[tops[1:]] != at[tops[:-1]])]
-            return gain[tops], code[tops], sums[:, tops]
-
-        a, b = best(at, gain, code, below), best(node, zero_gain, zero, at_zero)
+        zeros = np.repeat(zero, sizes)
+        at_zero = np.add.reduceat(np.where(code <= zeros, sums, 0.0), group, axis=1) + rest
+        below += np.where(code >= zeros, np.repeat(rest, sizes, axis=1), 0.0)
+
+        allowed, zero_allowed = (
+            self._allowed(h, totals[1, a]) for h, a in ((below[1], at), (at_zero[1], node))
+        )
+        alive = np.logical_or.reduceat(allowed, group) | zero_allowed
+        ends = np.append(bin_starts[group], len(row))
+        kept = np.repeat(alive, np.diff(ends))
+        self.active = tuple(v[kept] for v in values)
+
+        def best(at, code, sums, allowed):
+            allowed = np.flatnonzero(allowed)
+            at, code, sums = at[allowed], code[allowed], sums[:, allowed]
+            gain, told = np.full(totals.shape[1], -np.inf), np.zeros(totals.shape[1], np.int64)
+            left = np.zeros(totals.shape)
+            if len(at):
+                gains = self._gain(*sums, totals[0, at], totals[1, at])
+                starts = np.flatnonzero(_changes(at))
+                top = np.maximum.reduceat(gains, starts)
+                tops = np.flatnonzero(gains == np.repeat(top, np.diff(np.append(starts, len(at)))))
+                tops = tops[_changes(at[tops])]
+                found = at[tops]
+                gain[found], told[found], left[:, found] = gains[tops], code[tops], sums[:, tops]
+            return gain, told, left
+
+        a, b = best(at, code, below, allowed), best(node, zero, at_zero, zero_allowed)
         first = (b[0] > a[0]) | ((b[0] == a[0]) & (b[1] < a[1]))
-        return found, *[np.where(first, y, x) for x, y in zip(a, b, strict=True)]
+        found = np.unique(node)
+        return found, *[np.where(first, y, x)[..., found] for x, y in zip(a, b, strict=True)]
 
     def _own(self, opened, leaf, place, slope, totals, kin) -> _Splits:
         """Best splits of the open nodes among the features of this task.
 
         ``kin`` has the parent and the sibling of each open node (-1 for the root).
         """
-        nodes, count = len(opened), int(max(opened.max(), kin.max())) + 1
+        nodes, count = len(opened), int(max(leaf.max(), kin.max())) + 1
         gain, code = np.full(nodes, -np.inf), np.zeros(nodes, np.int64)
         left = np.zeros((2, nodes))
         inside = np.flatnonzero(place >= 0)
-        if not self.total:
+        if not self.t_total:
             return _Splits(gain, code, left, np.zeros(len(inside), bool))
         held = np.bincount(leaf, self.values, count)
-        big = held[opened] >= self.total / 2
-        label = leaf[self.rows.row]
-        direct, by_rest = [], []
+        big = held[opened] >= max(self.t_total / 2, LEAST_VALUES)
+        direct, by_rest = set(), []
         for k in np.flatnonzero(big).tolist():
             parent, sibling = kin[k].tolist()
             own = int(opened[k])
             if parent in self.histograms and held[sibling] < held[own]:
                 by_rest.append((own, parent, sibling))
-                direct.append(sibling)
+                direct.add(sibling)
             else:
-                direct.append(own)
+                direct.add(own)
         known: dict[int, np.ndarray] = {}
         if direct:
-            direct = sorted(set(direct))
-            slot = np.full(len(held), -1)
-            slot[direct] = np.arange(len(direct))
-            at = slot[label]
-            some = np.flatnonzero(at >= 0)
-            cell, row = at[some] * self.total + self.code[some], self.rows.row[some]
-            size = len(direct) * self.total
-            sums = np.stack([np.bincount(cell, s[row], size) for s in slope]).astype(float)
-            sums = sums.reshape(2, len(direct), self.total).transpose(1, 0, 2)
-            known = dict(zip(direct, sums, strict=True))
+            all_sums = np.stack([np.bincount(leaf, s, count) for s in slope])
+            by_leaf = _order(leaf)
+            edges = np.searchsorted(leaf[by_leaf], np.arange(count + 1))
+            for own in sorted(direct):
+                row = by_leaf[edges[own] : edges[own + 1]]
+                known[own] = self._histogram(row, slope, all_sums[:, own])
             known |= {own: self.histograms[p] - known[s] for own, p, s in by_rest}
-            at = np.flatnonzero(big)
-            self.histograms = {int(opened[k]): known[int(opened[k])] for k in at}
-            # A few nodes at a time.
-            step = max(1, CELLS // self.total)
-            for first in range(0, len(at), step):
-                some = at[first : first + step]
-                stacked = np.stack([known[int(opened[k])] for k in some])
-                gain[some], code[some], left[:, some] = self._dense(stacked, totals[:, some])
-        else:
-            self.histograms = {}
+        # Values of nodes that had a histogram so far, or the active ones of those that had none.
+        fresh = np.array([p < 0 or p in self.histograms for p in kin[:, 0].tolist()])
+        at = np.flatnonzero(big).tolist()
+        self.histograms = {int(opened[k]): known[int(opened[k])] for k in at}
+        for k in at:
+            below = known[int(opened[k])]
+            gain[k], code[k] = self._dense(below, totals[:, k])
+            left[:, k] = below[:, code[k]]
         if not big.all():
-            small = np.full(len(held), -1)
-            small[opened[~big]] = np.flatnonzero(~big)
-            at = small[label]
-            own = np.flatnonzero(at >= 0)
-            if len(own):
-                found, *best = self._sparse(at[own], own, slope, totals)
+            parts = []
+            if (~big & ~fresh).any():
+                node_of = self._numbers(opened, ~big & ~fresh, count)[leaf]
+                row, codes = self.active
+                own = np.flatnonzero((node_of >= 0)[row])
+                parts.append((node_of[row[own]], row[own], codes[own]))
+            if (~big & fresh).any():
+                node_of = self._numbers(opened, ~big & fresh, count)[leaf]
+                row = np.flatnonzero(node_of >= 0)
+                own, codes = self._values_of(row)
+                order = _order(codes)
+                row = np.repeat(row, own)[order]
+                parts.append((node_of[row], row, codes[order]))
+            values = [np.concatenate(part) for part in zip(*parts, strict=True)]
+            if len(values[0]):
+                found, *best = self._sparse(*values, slope, totals)
                 gain[found], code[found], left[:, found] = best
-        code = self.global_code[code]
+        code = self.t_global[code]
         return _Splits(gain, code, left, self._right(place, code)[inside])
 
+    @staticmethod
+    def _numbers(opened: np.ndarray, some: np.ndarray, count: int) -> np.ndarray:
+        """Place among the open nodes of each node, -1 for all but some of them."""
+        numbers = np.full(count, -1)
+        numbers[opened[some]] = np.flatnonzero(some)
+        return numbers
+
     def _right(self, place: np.ndarray, code: np.ndarray) -> np.ndarray:
         """Rows whose bin of the split's feature lies above the cut."""
         rows = self.rows
         feature = self.feature_of[code]
         node = np.maximum(place, 0)
         own = self.bins.zero[feature][node]
+        asked = np.where(place >= 0, feature[node], -1).astype(np.int32)  # feature of each row's node
         for f in np.unique(feature).tolist():
             part = slice(self.edges[f], self.edges[f + 1])
             row = rows.row[part]
-            told = (feature[node[row]] == f) & (place[row] >= 0)
+            told = np.flatnonzero(asked[row] == f)
             own[row[told]] = rows.code[part][told]
         return own > code[node]
 
@@ -361,7 +479,7 @@ class _Grower:
         leaf = np.zeros(len(rows.target), np.int64)  # node of each row
         opened = np.array([0])  # nodes that may be split
         kin = np.array([[-1, -1]])  # parent and sibling of each
-        self.histograms = {}
+        self._begin(slope)
         place = np.zeros(len(rows.target), np.int64)  # among the open ones, -1 if settled
 
         def value(g: float, h: float) -> float:

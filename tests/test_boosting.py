@@ -96,6 +96,30 @@ def test_tasks_agree_exactly(vectors):
     assert len(one.nodes) > 15
 
 
+def test_reads_what_may_be_cut(monkeypatch):
+    """Rare features have no bin, of two children the smaller is read, and the trees are the plain ones."""
+    rng = np.random.default_rng(4)
+    x = np.round(rng.random((6000, 12)), 1) * (rng.random((6000, 12)) < 0.7)
+    x[:, 5:] *= rng.random((6000, 7)) < 0.0005
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + rng.normal(0, 0.2, 6000) > 0.6).astype(float)
+    cuts = [np.unique(own[own > 0])[:-1] for own in np.where(x > 0, x, 1.0).T]
+    cuts = [np.append(0.0, own) for own in cuts]
+    bins, (row, feature) = bo._Bins.of(cuts), np.nonzero(x)
+    code = bins.coded(feature.astype(np.int32), x[row, feature])
+    order = np.argsort(code, kind="stable")
+    table = bo._Rows(y, row[order].astype(np.int32), feature[order].astype(np.int32), code[order])
+    cfg = bo.BoostConfig(trees=3, depth=6, rate=0.3)
+    grower = bo._Grower(table, bins, cfg, bo._alone)
+    read, own = [], grower._values_of
+    monkeypatch.setattr(grower, "_values_of", lambda row: read.append(len(row)) or own(row))
+    trees = [grower.tree() for _ in range(cfg.trees)]
+    assert grower.t_total < grower.total and len(grower.t_start) == 5
+    assert 0 < sum(read) < 0.6 * cfg.trees * (cfg.depth - 1) * len(y)
+    assert all(len(nodes) > 30 for nodes in trees)
+    expected = plain(x, y, cuts, cfg)
+    np.testing.assert_allclose(1 / (1 + np.exp(-grower.margin)), expected, atol=1e-9)
+
+
 def test_production_defaults(vectors, tmp_path):
     cfg = replace(CFG, model="gbt")
     defaults = RunConfig()
