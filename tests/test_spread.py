@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from clientela.functions.storage import tasks_of
+from clientela.functions.storage import broadcast_bytes, tasks_of
 from clientela.operators import cohorts as co
 from clientela.operators import features as fe
+from clientela.operators import lines as li
 from clientela.operators import measures as m
 from clientela.sources import tpch
 from clientela.sources.tpch import TPCH_RUN, tpch_sources
@@ -87,3 +89,61 @@ def test_sums_of_baskets_in_more_tasks(spark, tmp_path):
     assert few.schema == many.schema
     assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
     assert _parts(few) <= 4 < 12 < _parts(many) <= 20
+
+
+THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
+
+
+@pytest.fixture
+def threshold(spark):
+    """Sets the session's threshold for broadcasts and puts it back."""
+    own = spark.conf.get(THRESHOLD)
+    yield lambda value: spark.conf.set(THRESHOLD, value)
+    spark.conf.set(THRESHOLD, own)
+
+
+def test_threshold_in_bytes(spark, threshold):
+    for setting, size in (("-1", -1), ("300", 300), ("10485760b", 10485760), ("256k", 1 << 18), ("3MB", 3 << 20)):
+        threshold(setting)
+        assert broadcast_bytes(spark) == size
+
+
+def test_lines_pass_a_catalog_that_is_not_broadcast(spark, tmp_path, monkeypatch, capsys, threshold):
+    """Lines in more tasks are not sorted for the catalog, unless it is too large for a hash table."""
+    folder = _write(spark, tmp_path, 300, 4)
+    number = F.col("id")
+    # Key 3 comes twice; key 4 is sold but not known.
+    spark.range(1, 4).union(spark.range(3, 4)).union(spark.range(6, 60)).select(
+        number.alias("p_partkey"),
+        F.lit("SMALL").alias("p_type"),
+        F.concat(F.lit("B"), number % 2).alias("p_brand"),
+        (number % 7).cast("int").alias("p_size"),
+    ).write.parquet(f"{folder}/part.parquet")
+    spark.range(7).select(
+        number.alias("c_custkey"), F.lit("BUILDING").alias("c_mktsegment")
+    ).write.parquet(f"{folder}/customer.parquet")
+
+    def told() -> tuple[list, str]:
+        src = tpch_sources(spark, folder)
+        flags = co.customer_flags(src, TPCH_RUN)
+        found = fe.features(src, TPCH_RUN, flags.select("customer_id"), ["from_totals", "top_share"])
+        capsys.readouterr()
+        flags.explain()
+        found.explain()
+        plan = capsys.readouterr().out
+        return sorted(map(str, flags.collect() + found.collect())), plan
+
+    rows, plan = told()
+    assert "BroadcastHashJoin [item_key" in plan and len(rows) > 20
+    for patched in (fe, tpch):
+        monkeypatch.setattr(patched, "LINES_PER_TASK", 60)
+    dealt, plan = told()
+    assert dealt == rows and "BroadcastHashJoin [item_key" in plan
+    threshold("-1")
+    passed, plan = told()
+    # The flags, the lines with their codes, and the items of customers.
+    assert passed == rows and plan.count("ShuffledHashJoin") >= 3
+    assert "SortMergeJoin [item_key" not in plan and "SortMergeJoin [key" not in plan
+    monkeypatch.setattr(li, "ITEMS_PER_TASK", 1)
+    in_order, plan = told()
+    assert in_order == rows and "SortMergeJoin [item_key" in plan and "ShuffledHashJoin" not in plan
