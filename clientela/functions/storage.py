@@ -56,10 +56,28 @@ def broadcast_bytes(spark: SparkSession) -> int:
     return int(number) * 1024 ** "bkmgtp".index(unit or "b")
 
 
+def session_tasks(spark: SparkSession) -> int:
+    """The tasks that a large shuffle of the session has at least.
+
+    Adaptive execution merges shuffle partitions until a task for each core is left, or, where
+    the session prefers large partitions to busy cores, without such a bound.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    adaptive = "spark.sql.adaptive"
+    merging = f"{adaptive}.coalescePartitions"
+    if any(spark.conf.get(f"{name}.enabled").lower() != "true" for name in (adaptive, merging)):
+        return partitions
+    least = spark.conf.get(f"{merging}.minPartitionNum", None)
+    if least is None:
+        busy = spark.conf.get(f"{merging}.parallelismFirst").lower() == "true"
+        least = spark.sparkContext.defaultParallelism if busy else 1
+    return min(partitions, int(least))
+
+
 def tasks_of(spark: SparkSession, rows: int, per_task: int) -> int | None:
-    """The tasks that hold ``rows`` rows, or None where the session's shuffle partitions do."""
+    """The tasks that hold ``rows`` rows, or None where the session's own shuffles do."""
     wanted = -(-rows // per_task)
-    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+    return wanted if wanted > session_tasks(spark) else None
 
 
 def spread(df: DataFrame, tasks: int | None, *keys: str | Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from clientela.functions.storage import broadcast_bytes, tasks_of
+from clientela.functions.storage import broadcast_bytes, session_tasks, tasks_of
 from clientela.operators import cohorts as co
 from clientela.operators import features as fe
 from clientela.operators import lines as li
@@ -20,6 +20,49 @@ def test_tasks_by_rows(spark):
     assert tasks_of(spark, own * 10 + 1, 10) == own + 1
 
 
+@pytest.fixture
+def setting(spark):
+    """Sets settings of the session and puts them back."""
+    own = {}
+
+    def change(name: str, value: object) -> None:
+        own.setdefault(name, spark.conf.get(name, None))
+        spark.conf.set(name, str(value))
+
+    yield change
+    for name, value in own.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_merged_partitions_are_no_tasks(spark, setting):
+    cores = spark.sparkContext.defaultParallelism
+    merging = "spark.sql.adaptive.coalescePartitions"
+    setting("spark.sql.shuffle.partitions", 40)
+    assert session_tasks(spark) == cores < 23
+    assert tasks_of(spark, cores * 10, 10) is None and tasks_of(spark, 230, 10) == 23
+    setting(f"{merging}.minPartitionNum", 30)
+    assert session_tasks(spark) == 30
+    spark.conf.unset(f"{merging}.minPartitionNum")
+    setting(f"{merging}.parallelismFirst", "false")
+    assert session_tasks(spark) == 1
+    for switch in (f"{merging}.enabled", "spark.sql.adaptive.enabled"):
+        setting(switch, "false")
+        assert session_tasks(spark) == 40 and tasks_of(spark, 230, 10) is None
+        setting(switch, "true")
+
+
+def test_lines_are_not_merged_into_few_tasks(spark, tmp_path, monkeypatch, setting):
+    """With more shuffle partitions than lines ask for, adaptive execution does not merge theirs."""
+    setting("spark.sql.shuffle.partitions", 40)
+    folder = _write(spark, tmp_path, 300, 4)
+    few = tpch.sales(spark, folder)
+    rows = sorted(map(str, few.collect()))
+    monkeypatch.setattr(tpch, "LINES_PER_TASK", 60)
+    many = tpch.sales(spark, folder)
+    assert sorted(map(str, many.collect())) == rows and len(rows) == 1200
+    assert _parts(few) <= 4 < 15 < _parts(many) <= 20
+
+
 def test_more_lines_more_tasks(spark, testdata, monkeypatch):
     """With few lines for a task, the same features come from more tasks than the session has."""
     src = tpch_sources(spark, testdata)
