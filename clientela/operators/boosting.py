@@ -4,24 +4,25 @@ Values are cut into bins once, by quantiles of each feature, and dealt out by fe
 a task holds some features of all rows, with the targets and margins of all rows, for the whole
 fit. Trees grow level by level. Each task finds the best splits of all open nodes among
 its features, from sums over all rows, so no histogram leaves a task. Inside a barrier stage the
-tasks exchange their best splits, with a bit per row that says on which side it falls, and all take the
-best one of each node. A level costs one exchange instead of a Spark job. A table of up to
-``rows_per_task`` rows is fitted by one task, without any exchange.
+tasks exchange their best splits, and all take the best one of each node; the task that has its feature then
+tells, in a bit per row, on which side each falls. A level costs two exchanges instead of a Spark job. A table of up to
+``rows_per_task`` rows is fitted by one task, without any exchange. Tasks tell each other through files
+of the shared folder (``functions/exchange.py``).
 
 Gradients are rounded to whole multiples of 2**-26, so sums are exact: the trees do not
 depend on the number of tasks, on the order of the rows or on a retry. A lost task
 restarts the stage.
 
-An exchange takes about a second in Spark, whatever its size: with several tasks a tree takes
-as many seconds as it has levels, which pays for tables far beyond ``rows_per_task``. All
-tasks of the stage must run at once (no dynamic allocation), and each needs some 40 bytes a row and 30
-bytes for each value of its features.
+Where the shared folder is no path of the machines, they exchange by Spark, which takes about a second
+whatever is told: a tree takes two for each of its levels, and only tables beyond
+``rows_per_slow_task`` are dealt to several tasks. All tasks of the stage must run at once (with dynamic
+allocation there is one), and each needs some 40 bytes a row and 30 bytes for each value of its features.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +31,7 @@ from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from clientela.functions.exchange import Exchange, among, message_folder, slots
 from clientela.functions.storage import materialise
 from clientela.functions.vectors import entries, stored, width_of
 
@@ -37,6 +39,8 @@ from clientela.functions.vectors import entries, stored, width_of
 LEAST_VALUES = 2048
 #: One in units of the rounded gradients.
 UNIT = float(1 << 26)
+#: A feature that one row in as many has is also held as a column.
+LEAST_SHARE = 8
 #: Least gain of a split.
 LEAST_GAIN = 1e-6
 #: Numbers that scoring holds as dense rows at once.
@@ -52,7 +56,8 @@ class BoostConfig:
     ridge: float = 1.0
     least_hessian: float = 1.0  # of each side of a split
     bins: int = 256
-    rows_per_task: int = 200_000
+    rows_per_task: int = 20_000
+    rows_per_slow_task: int = 200_000  # where tasks exchange by Spark
     tasks: int = 16
 
 
@@ -69,7 +74,7 @@ def feature_cuts(vectors: DataFrame, width: int, bins: int) -> list[np.ndarray]:
     told = (
         values.groupBy("feature")
         .agg(
-            F.percentile_approx("value", shares, 10 * bins).alias("cuts"),
+            F.array_distinct(F.percentile_approx("value", shares, 10 * bins)).alias("cuts"),
             F.max("value").alias("most"),
         )
     )
@@ -140,9 +145,6 @@ def _read(batches: Iterator[pa.RecordBatch], bins: _Bins) -> _Rows:
 
 # Growing --------------------------------------------------------------------------------
 
-#: What all tasks have to say, by task.
-Exchange = Callable[[bytes], list[bytes]]
-
 
 def _alone(message: bytes) -> list[bytes]:
     return [message]
@@ -163,34 +165,29 @@ class _Splits:
     gain: np.ndarray
     code: np.ndarray
     left: np.ndarray  # gradient and hessian of the left side
-    right: np.ndarray  # whether each row of an open node goes right
 
     def packed(self) -> bytes:
-        numbers = np.concatenate([self.gain, self.code, self.left.reshape(-1)])
-        return numbers.astype("<f8").tobytes() + np.packbits(self.right).tobytes()
+        return np.concatenate([self.gain, self.code, self.left.reshape(-1)]).astype("<f8").tobytes()
 
     @classmethod
-    def unpacked(cls, message: bytes, nodes: int, rows: int) -> _Splits:
+    def unpacked(cls, message: bytes, nodes: int) -> _Splits:
         numbers = np.frombuffer(message, "<f8", 4 * nodes)
-        bits = np.frombuffer(message, np.uint8, offset=32 * nodes)
         return cls(
             numbers[:nodes],
             numbers[nodes : 2 * nodes].astype(np.int64),
             numbers[2 * nodes :].reshape(2, nodes),
-            np.unpackbits(bits, count=rows).astype(bool),
         )
 
 
-def _best_of(offers: list[_Splits], place: np.ndarray) -> _Splits:
-    """The best offer for each node; of equal ones that of the first feature."""
+def _best_of(offers: list[_Splits]) -> tuple[_Splits, np.ndarray]:
+    """The best offer for each node, of equal ones that of the first feature, and whose it is."""
     gain = np.stack([o.gain for o in offers])
     code = np.stack([o.code for o in offers])
     code_of_best = np.where(gain == gain.max(axis=0), code, np.iinfo(np.int64).max)
     winner = np.argmin(code_of_best, axis=0)
-    nodes, rows = np.arange(gain.shape[1]), np.arange(len(place))
-    right = np.stack([o.right for o in offers])[winner[place], rows]
+    nodes = np.arange(gain.shape[1])
     left = np.stack([o.left for o in offers])[winner, :, nodes].T
-    return _Splits(gain[winner, nodes], code[winner, nodes], left, right)
+    return _Splits(gain[winner, nodes], code[winner, nodes], left), winner
 
 
 def _changes(sorted_: np.ndarray) -> np.ndarray:
@@ -218,8 +215,8 @@ class _Grower:
     sorted by node and bin, and summed as they come.
     """
 
-    def __init__(self, rows: _Rows, bins: _Bins, cfg: BoostConfig, exchange: Exchange):
-        self.rows, self.bins, self.cfg, self.exchange = rows, bins, cfg, exchange
+    def __init__(self, rows: _Rows, bins: _Bins, cfg: BoostConfig, exchange: Exchange, task: int = 0):
+        self.rows, self.bins, self.cfg, self.exchange, self.task = rows, bins, cfg, exchange, task
         self.margin = np.zeros(len(rows.target))
         sizes = np.diff(np.append(bins.start, bins.total))
         self.feature_of = np.repeat(np.arange(len(bins.cuts)), sizes)
@@ -239,6 +236,17 @@ class _Grower:
         by_row = np.argsort(rows.row, kind="stable")
         self.code_of_row, self.row = self.code[by_row], rows.row[by_row]  # row after row
         self.histograms: dict[int, np.ndarray] = {}
+        # Features that many rows have, as a column: the bin of each row.
+        stored = np.diff(self.edges)
+        often = np.flatnonzero(stored * LEAST_SHARE >= max(1, len(rows.target)))
+        self.column = np.full(len(bins.cuts), -1)
+        self.column[often] = np.arange(len(often))
+        kind = np.min_scalar_type(int(sizes.max(initial=1)))
+        self.columns = np.empty((len(often), len(rows.target)), kind)
+        for column, f in zip(self.columns, often.tolist(), strict=True):
+            part = slice(self.edges[f], self.edges[f + 1])
+            column[:] = bins.zero[f] - bins.start[f]
+            column[rows.row[part]] = rows.code[part] - bins.start[f]
 
     def _begin(self, slope: np.ndarray) -> None:
         """The bins of a tree: those that the root may be cut at.
@@ -389,18 +397,18 @@ class _Grower:
         found = np.unique(node)
         return found, *[np.where(first, y, x)[..., found] for x, y in zip(a, b, strict=True)]
 
-    def _own(self, opened, leaf, place, slope, totals, kin) -> _Splits:
+    def _own(self, opened, inside, leaf, slope, totals, kin) -> _Splits:
         """Best splits of the open nodes among the features of this task.
 
+        ``inside`` are the rows of the nodes that the last level made, ``leaf`` has the node of each.
         ``kin`` has the parent and the sibling of each open node (-1 for the root).
         """
         nodes, count = len(opened), int(max(leaf.max(), kin.max())) + 1
         gain, code = np.full(nodes, -np.inf), np.zeros(nodes, np.int64)
         left = np.zeros((2, nodes))
-        inside = np.flatnonzero(place >= 0)
         if not self.t_total:
-            return _Splits(gain, code, left, np.zeros(len(inside), bool))
-        held = np.bincount(leaf, self.values, count)
+            return _Splits(gain, code, left)
+        held = np.bincount(leaf, self.values[inside], count)
         big = held[opened] >= max(self.t_total / 2, LEAST_VALUES)
         direct, by_rest = set(), []
         for k in np.flatnonzero(big).tolist():
@@ -413,12 +421,12 @@ class _Grower:
                 direct.add(own)
         known: dict[int, np.ndarray] = {}
         if direct:
-            all_sums = np.stack([np.bincount(leaf, s, count) for s in slope])
             by_leaf = _order(leaf)
-            edges = np.searchsorted(leaf[by_leaf], np.arange(count + 1))
+            edges = np.concatenate(([0], np.cumsum(np.bincount(leaf, minlength=count))))
             for own in sorted(direct):
-                row = by_leaf[edges[own] : edges[own + 1]]
-                known[own] = self._histogram(row, slope, all_sums[:, own])
+                row = inside[by_leaf[edges[own] : edges[own + 1]]]
+                own_sums = np.array([s[row].sum() for s in slope])
+                known[own] = self._histogram(row, slope, own_sums)
             known |= {own: self.histograms[p] - known[s] for own, p, s in by_rest}
         # Values of nodes that had a histogram so far, or the active ones of those that had none.
         fresh = np.array([p < 0 or p in self.histograms for p in kin[:, 0].tolist()])
@@ -431,23 +439,24 @@ class _Grower:
         if not big.all():
             parts = []
             if (~big & ~fresh).any():
-                node_of = self._numbers(opened, ~big & ~fresh, count)[leaf]
+                node_of = np.full(len(self.values), -1)
+                node_of[inside] = self._numbers(opened, ~big & ~fresh, count)[leaf]
                 row, codes = self.active
-                own = np.flatnonzero((node_of >= 0)[row])
-                parts.append((node_of[row[own]], row[own], codes[own]))
+                node_of = node_of[row]
+                own = np.flatnonzero(node_of >= 0)
+                parts.append((node_of[own], row[own], codes[own]))
             if (~big & fresh).any():
                 node_of = self._numbers(opened, ~big & fresh, count)[leaf]
-                row = np.flatnonzero(node_of >= 0)
-                own, codes = self._values_of(row)
+                some = np.flatnonzero(node_of >= 0)
+                own, codes = self._values_of(inside[some])
                 order = _order(codes)
-                row = np.repeat(row, own)[order]
-                parts.append((node_of[row], row, codes[order]))
+                some = np.repeat(some, own)[order]
+                parts.append((node_of[some], inside[some], codes[order]))
             values = [np.concatenate(part) for part in zip(*parts, strict=True)]
             if len(values[0]):
                 found, *best = self._sparse(*values, slope, totals)
                 gain[found], code[found], left[:, found] = best
-        code = self.t_global[code]
-        return _Splits(gain, code, left, self._right(place, code)[inside])
+        return _Splits(gain, self.t_global[code], left)
 
     @staticmethod
     def _numbers(opened: np.ndarray, some: np.ndarray, count: int) -> np.ndarray:
@@ -456,19 +465,39 @@ class _Grower:
         numbers[opened[some]] = np.flatnonzero(some)
         return numbers
 
-    def _right(self, place: np.ndarray, code: np.ndarray) -> np.ndarray:
-        """Rows whose bin of the split's feature lies above the cut."""
-        rows = self.rows
-        feature = self.feature_of[code]
-        node = np.maximum(place, 0)
-        own = self.bins.zero[feature][node]
-        asked = np.where(place >= 0, feature[node], -1).astype(np.int32)  # feature of each row's node
-        for f in np.unique(feature).tolist():
+    def _right(self, row: np.ndarray, place: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Whether the bin of the split's feature lies above the cut, for rows in split nodes."""
+        rows, feature = self.rows, self.feature_of[code]
+        column, cut = self.column[feature], code - self.bins.start[feature]
+        asks = np.bincount(place, minlength=len(code)) > 0
+        if not (column[asks] < 0).any():
+            return self.columns[column[place], row] > cut[place]
+        own = self.bins.zero[feature][place]
+        held = np.flatnonzero(column[place] >= 0)
+        at = place[held]
+        own[held] = self.columns[column[at], row[held]] + self.bins.start[feature][at]
+        number_of = np.full(len(rows.target), -1)
+        number_of[row] = np.arange(len(row))
+        for f in np.unique(feature[asks & (column < 0)]).tolist():
             part = slice(self.edges[f], self.edges[f + 1])
-            row = rows.row[part]
-            told = np.flatnonzero(asked[row] == f)
-            own[row[told]] = rows.code[part][told]
-        return own > code[node]
+            number = number_of[rows.row[part]]
+            told = np.flatnonzero(number >= 0)
+            told = told[feature[place[number[told]]] == f]
+            own[number[told]] = rows.code[part][told]
+        return own > code[place]
+
+    def _sides(self, row, place, code, winner) -> np.ndarray:
+        """``_right`` of all tasks: each tells it of the nodes whose split is among its features."""
+        if self.exchange is _alone:
+            return self._right(row, place, code)
+        task = winner[place]
+        mine = np.flatnonzero(task == self.task)
+        told = self.exchange(np.packbits(self._right(row[mine], place[mine], code)).tobytes())
+        right = np.empty(len(row), bool)
+        for number, message in enumerate(told):
+            own = np.flatnonzero(task == number)
+            right[own] = np.unpackbits(np.frombuffer(message, np.uint8), count=len(own))
+        return right
 
     def tree(self) -> list[tuple]:
         """Nodes of the next tree; the margin of the rows moves on by it."""
@@ -480,20 +509,18 @@ class _Grower:
         opened = np.array([0])  # nodes that may be split
         kin = np.array([[-1, -1]])  # parent and sibling of each
         self._begin(slope)
-        place = np.zeros(len(rows.target), np.int64)  # among the open ones, -1 if settled
+        # Rows of the nodes that the last level made, the node of each and its place among the open ones.
+        inside, own, place = np.arange(len(leaf)), leaf.copy(), leaf.copy()
 
         def value(g: float, h: float) -> float:
             return float(-g / (h + cfg.ridge * unit) * cfg.rate)
 
         nodes = [[0, np.inf, 0, 0, value(*totals[:, 0]), 0.0]]
         for _ in range(cfg.depth):
-            inside = np.flatnonzero(place >= 0)
-            mine = self._own(opened, leaf, place, slope, totals, kin)
+            mine = self._own(opened, inside, own, slope, totals, kin)
             told = self.exchange(mine.packed()) if self.exchange is not _alone else None
-            offers = [mine] if told is None else [
-                _Splits.unpacked(t, len(opened), len(inside)) for t in told
-            ]
-            splits = _best_of(offers, place[inside])
+            offers = [mine] if told is None else [_Splits.unpacked(t, len(opened)) for t in told]
+            splits, winner = _best_of(offers)
             parts = splits.gain > LEAST_GAIN
             if not parts.any():
                 break
@@ -514,25 +541,29 @@ class _Grower:
                         sums.append(part)
                 pair = children[k].tolist()
                 nodes[opened[k]] = [feature, cut, *pair, nodes[opened[k]][4], float(splits.gain[k])]
-            moved = parts[place[inside]]
-            inside, right = inside[moved], splits.right[moved].astype(np.int64)
-            leaf[inside] = children[place[inside], right]
+            # A place of -1 is that of a settled row, and asks for the last entry.
+            moved = np.flatnonzero(np.append(parts, False)[place])
+            inside, place = inside[moved], place[moved]
+            right = self._sides(inside, place, splits.code, winner)
+            own = children[place, right.astype(np.int64)]
+            leaf[inside] = own
             if not still:
                 break
             opened, totals = np.array(still), np.stack(sums, axis=1)
             kin = np.array(related)
             number = np.full(len(nodes), -1)
             number[opened] = np.arange(len(opened))
-            place = np.full(len(place), -1)
-            place[inside] = number[leaf[inside]]
+            place = number[own]
         values = np.array([node[4] for node in nodes])
         self.margin += values[leaf]
         return [tuple(node) for node in nodes]
 
 
-def grow(rows: _Rows, bins: _Bins, cfg: BoostConfig, exchange: Exchange = _alone) -> Iterator[list]:
+def grow(
+    rows: _Rows, bins: _Bins, cfg: BoostConfig, exchange: Exchange = _alone, task: int = 0
+) -> Iterator[list]:
     """The nodes of each tree, one tree after the other."""
-    grower = _Grower(rows, bins, cfg, exchange)
+    grower = _Grower(rows, bins, cfg, exchange, task)
     for _ in range(cfg.trees):
         yield grower.tree()
 
@@ -564,16 +595,20 @@ def fit(vectors: DataFrame, rows: int, cfg: BoostConfig) -> BoostedTrees:
     spark = vectors.sparkSession
     width = vectors.select(width_of("features")).first()[0]
     bins = _Bins.of(feature_cuts(vectors, width, cfg.bins))
-    slots = spark.sparkContext.defaultParallelism
-    tasks = max(1, min(cfg.tasks, slots, -(-rows // cfg.rows_per_task)))
+    folder = message_folder(spark)
+    per_task = cfg.rows_per_slow_task if folder is None else cfg.rows_per_task
+    tasks = max(1, min(cfg.tasks, slots(spark), -(-rows // per_task)))
+
+    def exchange_of(context: BarrierTaskContext) -> Exchange:
+        return _among(context) if folder is None else among(folder, context)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _read(batches, bins)
         context = BarrierTaskContext.get() if tasks > 1 else None
-        exchange = _alone if context is None else _among(context)
-        first = context is None or context.partitionId() == 0
-        for number, nodes in enumerate(grow(own, bins, cfg, exchange)):
-            if first:
+        exchange = _alone if context is None else exchange_of(context)
+        task = 0 if context is None else context.partitionId()
+        for number, nodes in enumerate(grow(own, bins, cfg, exchange, task)):
+            if task == 0:
                 yield _table(number, nodes)
 
     grown = _dealt(vectors, tasks).mapInArrow(run, NODES, barrier=tasks > 1).toPandas()
@@ -647,23 +682,27 @@ class BoostedTrees:
 
     def with_probability(self, vectors: DataFrame, name: str) -> DataFrame:
         """The columns but ``features``, and the probability of target 1."""
+        # Rows are written out by the features that the trees ask for: others don't tell.
+        asked, feature = np.unique(self.feature, return_inverse=True)
         # As large as the model, whatever the table.
         shared = self.spark.sparkContext.broadcast(
-            (self.width, self.roots, self.feature, self.threshold, self.left, self.right, self.value)
+            (asked, self.roots, feature, self.threshold, self.left, self.right, self.value)
         )
         kept = [field for field in vectors.schema.fields if field.name != "features"]
         names = [field.name for field in kept]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            width, *arrays = shared.value
-            model = BoostedTrees(None, None, width, *arrays)
-            most = max(1, DENSE // max(width, len(model.roots)))
+            asked, *arrays = shared.value
+            model = BoostedTrees(None, None, len(asked), *arrays)
+            most = max(1, DENSE // max(model.width, len(model.roots)))
             for batch in batches:
                 for first in range(0, batch.num_rows, most):
                     piece = batch.slice(first, most)
                     row, feature, value = entries(piece["features"])
-                    dense = np.zeros((piece.num_rows, width))
-                    dense[row, feature] = value
+                    place = np.minimum(np.searchsorted(asked, feature), model.width - 1)
+                    known = asked[place] == feature
+                    dense = np.zeros((piece.num_rows, model.width))
+                    dense[row[known], place[known]] = value[known]
                     p = 1.0 / (1.0 + np.exp(-model.margin(dense)))
                     yield pa.RecordBatch.from_arrays(
                         [*[piece[n] for n in names], pa.array(p)], [*names, name]

@@ -96,6 +96,34 @@ def test_tasks_agree_exactly(vectors):
     assert len(one.nodes) > 15
 
 
+def test_tasks_tell_each_other_by_files(vectors, monkeypatch):
+    """Spark's own exchange, a second for each level of a tree, is not asked."""
+
+    def slow(context):
+        raise AssertionError("a second for each level")
+
+    cfg = bo.BoostConfig(trees=3, depth=4, rate=0.3, bins=16)
+    one = bo.fit(vectors, 700, cfg)
+    monkeypatch.setattr(bo, "_among", slow)
+    many = bo.fit(vectors, 700, replace(cfg, rows_per_task=250))
+    assert (one.nodes.to_numpy() == many.nodes.to_numpy()).all()
+    # Where the folder is no path of the machines it is, and only by tables beyond its own bound.
+    monkeypatch.undo()
+    monkeypatch.setattr(bo, "message_folder", lambda spark: None)
+    again = bo.fit(vectors, 700, replace(cfg, trees=1, depth=2, rows_per_slow_task=250))
+    few = bo.fit(vectors, 700, replace(cfg, trees=1, depth=2))
+    assert (again.nodes.to_numpy() == few.nodes.to_numpy()).all()
+
+
+def test_scores_are_those_of_whole_rows(vectors):
+    """Rows are written out by the features that the trees ask for."""
+    model = bo.fit(vectors, 700, bo.BoostConfig(trees=4, depth=3, rate=0.3, bins=16))
+    table = vectors.orderBy(F.col("customer_id").cast("int")).collect()
+    x = np.array([r.features.toArray() for r in table])
+    np.testing.assert_allclose(told(model, vectors), 1 / (1 + np.exp(-model.margin(x))), atol=1e-12)
+    assert 6 not in model.feature
+
+
 def test_reads_what_may_be_cut(monkeypatch):
     """Rare features have no bin, of two children the smaller is read, and the trees are the plain ones."""
     rng = np.random.default_rng(4)
