@@ -9,10 +9,11 @@ import pytest
 from micro import CFG
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector
+from pyspark.ml.linalg import SparseVector, Vectors
 from pyspark.sql import functions as F
 
 from clientela.functions.storage import materialise
+from clientela.operators import clusters
 from clientela.operators import datasets as ds
 from clientela.operators import models as mo
 from clientela.operators.clusters import certificate, lloyd, random_starts
@@ -203,6 +204,49 @@ def test_all_starts_in_one_pass_equal_single_fits(spark):
     assert not moved.centred
 
 
+@pytest.mark.parametrize("layout", ["one task", "four tasks", "jobs"])
+def test_rows_are_read_once_for_all_steps(spark, monkeypatch, layout):
+    """Sums of a step are a job only where the rows can't be held; all layouts settle alike."""
+    rng = random.Random(5)
+    rows = [
+        (str(i), Vectors.sparse(40, {f: rng.gauss(i % 3, 1.0) for f in sorted(rng.sample(range(40), 9))}))
+        for i in range(900)
+    ]
+    rows += [(str(900 + i), Vectors.sparse(40, {})) for i in range(5)]
+    vectors = materialise(spark.createDataFrame(rows, ["customer_id", "features"]), "held")
+    x = np.array([r.features.toArray() for r in vectors.collect()])
+    starts = random_starts(vectors, 3, 4, 1)
+
+    def no_job(*_):
+        raise AssertionError("a job and a shuffle for each step")
+
+    if layout == "jobs":
+        monkeypatch.setattr(clusters, "message_folder", lambda spark: None)
+        monkeypatch.setattr(clusters, "TASK_VALUES", 1000)
+    else:
+        monkeypatch.setattr(clusters, "_sums", no_job)
+        monkeypatch.setattr(clusters, "TASK_VALUES", 1 << 20 if layout == "one task" else 2000)
+    centres, cost = lloyd(vectors, starts, 1000)
+    for start, own, total in zip(starts, centres, cost, strict=True):
+        plain = start.copy()
+        while True:
+            near = ((x[:, None] - plain[None]) ** 2).sum(axis=2).argmin(axis=1)
+            moved = np.array([x[near == c].mean(axis=0) if (near == c).any() else plain[c] for c in range(3)])
+            if np.abs(moved - plain).max() < 1e-12:
+                break
+            plain = moved
+        np.testing.assert_allclose(own, plain, atol=1e-9)
+        assert total == pytest.approx(((x - plain[near]) ** 2).sum())
+    # Stopped early, each layout stands where the same number of steps leads.
+    near = ((x[:, None] - starts[0][None]) ** 2).sum(axis=2).argmin(axis=1)
+    first = np.array([x[near == c].mean(axis=0) for c in range(3)])
+    near = ((x[:, None] - first[None]) ** 2).sum(axis=2).argmin(axis=1)
+    second = np.array([x[near == c].mean(axis=0) for c in range(3)])
+    early, total = lloyd(vectors, starts, 2)
+    np.testing.assert_allclose(early[0], second, atol=1e-9)
+    assert total[0] == pytest.approx(((x - first[near]) ** 2).sum())
+
+
 def test_the_optimum_has_a_certificate(separable):
     cfg = replace(CFG, model="logreg")
     fitted = mo.train_classifier(separable, cfg)
